@@ -177,15 +177,15 @@ SELECT * EXCLUDE (rn) FROM (
     FROM changes WHERE changed_at >= TIMESTAMP '1999-01-01') WHERE rn = 1""",
     "day_one": """
 SELECT *, TIMESTAMP '2024-01-20 00:00:00' AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
-FROM silver_customers WHERE customerID % 10 <> 9 AND customerID % 31 <> 0""",
+FROM silver_customers WHERE state <> 'BUILDING'""",
     "closed_one": """
 SELECT *, TIMESTAMP '2024-01-10 00:00:00' AS effective_from, TIMESTAMP '2024-01-20 00:00:00' AS effective_to, FALSE AS is_current
-FROM silver_customers WHERE customerID % 5 = 0""",
+FROM silver_customers WHERE state IN ('BUILDING', 'MACHINERY')""",
     "history_one": "SELECT * FROM day_one UNION ALL SELECT * FROM closed_one",
     "day_two": """
-SELECT * REPLACE (CASE WHEN customerID % 7 = 0 THEN 'Moved' ELSE city END AS city,
-    CASE WHEN customerID % 11 = 0 THEN NULL ELSE email_address END AS email_address)
-FROM silver_customers WHERE customerID % 10 <> 8""",
+SELECT * REPLACE (CASE WHEN continent = 'ASIA' THEN 'Moved' ELSE city END AS city,
+    CASE WHEN continent = 'EUROPE' THEN NULL ELSE email_address END AS email_address)
+FROM silver_customers WHERE state <> 'FURNITURE'""",
 }
 
 _ALL = {**{name: re.sub(r"\{(\w+)\}", r"\1", text) for name, text in VIEWS.items()}, **TYPED}
@@ -293,18 +293,18 @@ class Domain:
                 }
             )
 
-        live = self.customers.where("customerID % 10 <> 9 AND customerID % 31 <> 0")
+        live = self.customers.where("state <> 'BUILDING'")
         return interval(live, "2024-01-20", None, True).unionByName(
-            interval(self.customers.where("customerID % 5 = 0"), "2024-01-10", "2024-01-20", False)
+            interval(self.customers.where("state IN ('BUILDING', 'MACHINERY')"), "2024-01-10", "2024-01-20", False)
         )
 
     @cached_property
     def day_two(self) -> DataFrame:
         """The next delivery: moved customers, removed e-mails, some new and some missing keys."""
-        return self.customers.where("customerID % 10 <> 8").withColumns(
+        return self.customers.where("state <> 'FURNITURE'").withColumns(
             {
-                "city": F.when(F.col("customerID") % 7 == 0, "Moved").otherwise(F.col("city")),
-                "email_address": F.when(F.col("customerID") % 11 != 0, F.col("email_address")),
+                "city": F.when(F.col("continent") == "ASIA", "Moved").otherwise(F.col("city")),
+                "email_address": F.when(F.col("continent") != "EUROPE", F.col("email_address")),
             }
         )
 

@@ -122,11 +122,24 @@ def apply_scd2(
     )
 
 
-def intervals(log: DataFrame, keys: Sequence[str], starts: str) -> DataFrame:
-    """Validity of every version of a complete log: each ends where the next of its key starts."""
-    following = F.lead(starts).over(Window.partitionBy(*keys).orderBy(starts))
-    return log.withColumns({"effective_from": F.col(starts), "effective_to": following}).withColumn(
-        "is_current", F.col("effective_to").isNull()
+def intervals(log: DataFrame, keys: Sequence[str], starts: str, grain: str = "month") -> DataFrame:
+    """Validity of every version of a complete log: each ends where the next of its key starts.
+
+    Rows are ordered within (key, period of ``grain``) and periods within a key, so the versions of
+    one large key are spread over its periods instead of being sorted in a single task. Starts
+    must be distinct per key.
+    """
+    period = "_period"
+    placed = log.withColumn(period, F.date_trunc(grain, starts))
+    in_period = Window.partitionBy(*keys, period).orderBy(starts)
+    firsts = placed.groupBy(*keys, period).agg(F.min(starts).alias("_first"))
+    following = F.lead("_first").over(Window.partitionBy(*keys).orderBy(period))
+    next_first = firsts.select(*keys, period, following.alias("_next_first"))
+    ordered = placed.withColumn("_next", F.lead(starts).over(in_period))
+    joined = ordered.join(next_first, [*keys, period], "left")
+    ends = F.coalesce(F.col("_next"), F.col("_next_first"))
+    return joined.select(
+        *log.columns, F.col(starts).alias("effective_from"), ends.alias("effective_to"), ends.isNull().alias("is_current")
     )
 
 
