@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import transforms as t
 from stratalake.operators.dedup import latest_per_key
-from stratalake.operators.quality import clean, flag_rows, trip_rules
+from stratalake.operators.quality import flag_rows, passing, trip_rules
 from stratalake.session import scratch_dir
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -28,8 +28,10 @@ _SYSTEM = """'2024-01-0' || CAST({key} % 5 + 1 AS STRING) || ' 0' || CAST({key}
     'landing/{name}' AS _source_file, 'batch-' || CAST({key} % 5 AS STRING) AS _batch_id,
     CASE WHEN {key} % 41 = 7 THEN TRUE ELSE FALSE END AS _is_deleted"""
 
-_PICKUP = """CAST(l_shipdate AS TIMESTAMP) + INTERVAL '1' HOUR * CAST(l_orderkey % 12 + 6 AS INT)
-    + INTERVAL '1' MINUTE * CAST(l_partkey % 60 AS INT)"""
+_PICKUP_SECOND = "(l_orderkey % 12 + 6) * 3600 + l_partkey % 60 * 60"
+_PICKUP = f"CAST(l_shipdate AS TIMESTAMP) + INTERVAL '1' SECOND * CAST({_PICKUP_SECOND} AS INT)"
+_DROPOFF = f"""CAST(l_shipdate AS TIMESTAMP)
+    + INTERVAL '1' SECOND * CAST({_PICKUP_SECOND} + (l_quantity - 3) * 60 + l_suppkey % 60 AS INT)"""
 
 VIEWS = {
     "sales_customers": f"""
@@ -84,8 +86,7 @@ FROM {{events}}""",
     "trips": f"""
 SELECT CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 6 END AS VendorID,
     CASE WHEN l_orderkey % 211 = 3 THEN NULL ELSE {_PICKUP} END AS tpep_pickup_datetime,
-    CASE WHEN l_orderkey % 223 = 3 THEN NULL ELSE {_PICKUP} + INTERVAL '1' MINUTE * CAST(l_quantity - 3 AS INT)
-         + INTERVAL '1' SECOND * CAST(l_suppkey % 60 AS INT) END AS tpep_dropoff_datetime,
+    CASE WHEN l_orderkey % 223 = 3 THEN NULL ELSE {_DROPOFF} END AS tpep_dropoff_datetime,
     CAST(l_linenumber AS DOUBLE) AS passenger_count, l_quantity / 4 AS trip_distance,
     CAST(CASE WHEN l_orderkey % 3 = 0 THEN 4 ELSE l_partkey % 27 END AS BIGINT) AS PULocationID,
     CAST(CASE WHEN l_suppkey % 2 = 0 THEN 5 ELSE l_suppkey % 27 END AS BIGINT) AS DOLocationID, CAST(l_linenumber % 6 + 1 AS DOUBLE) AS RatecodeID,
@@ -255,7 +256,7 @@ class Domain:
 
     @cached_property
     def clean_trips(self) -> DataFrame:
-        return clean(self.flagged)
+        return passing(self.trips, RULES)
 
     @cached_property
     def zone_file(self) -> DataFrame:

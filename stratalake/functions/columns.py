@@ -8,6 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
 from stratalake.functions.numeric import PLAIN
 
@@ -22,17 +23,20 @@ _WHOLE_WITH_FRACTION = r"^\s*[+-]?\d+\.\d*\s*$"
 _INTEGRAL = ("bigint", "int", "smallint", "tinyint")
 
 
-def lenient_cast(name: str, type_name: str, from_text: bool) -> Column:
+def lenient_cast(source: StructField, target: StructField) -> Column:
     """Cast that gives NULL for unreadable values instead of raising.
 
-    Text such as ``12.50`` still becomes the integer 12, as in a non-ANSI cast.
+    Text such as ``12.50`` still becomes the integer 12, as in a non-ANSI cast. A column that has
+    the type already is passed on as it is, so filters on it reach the scan.
     """
-    c = F.col(name)
+    c, type_name = F.col(target.name), target.dataType.simpleString()
+    if source.dataType == target.dataType:
+        return c
     cast = c.try_cast(type_name)
-    if from_text and type_name in _INTEGRAL:
+    if isinstance(source.dataType, StringType) and type_name in _INTEGRAL:
         whole = F.when(c.rlike(_WHOLE_WITH_FRACTION), F.substring_index(c, ".", 1))
         cast = F.coalesce(cast, whole.try_cast(type_name))
-    return cast.alias(name)
+    return cast.alias(target.name)
 
 
 def digits_only(c: Column) -> Column:

@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 from stratalake.functions.columns import brand_tier, digits_only, full_name, lenient_cast
 from stratalake.functions.enrich import FIRST_NAMES, LAST_NAMES, keyed_phone, pick
@@ -59,25 +59,14 @@ TRIP_TYPES = (
 def conform(df: DataFrame, layout: str, required: Sequence[str] = ()) -> DataFrame:
     """Project and cast to ``layout``; drop rows where a required column is NULL after the cast."""
     fields = StructType.fromDDL(layout).fields
-    typed = df.select(
-        [
-            lenient_cast(f.name, f.dataType.simpleString(), isinstance(df.schema[f.name].dataType, StringType))
-            for f in fields
-        ]
-    )
+    typed = df.select([lenient_cast(df.schema[f.name], f) for f in fields])
     return typed.dropna(subset=list(required)) if required else typed
 
 
 def retype(df: DataFrame, layout: str) -> DataFrame:
     """Cast the columns named in ``layout`` and keep all others as they are."""
-    return df.withColumns(
-        {
-            f.name: lenient_cast(
-                f.name, f.dataType.simpleString(), isinstance(df.schema[f.name].dataType, StringType)
-            )
-            for f in StructType.fromDDL(layout).fields
-        }
-    )
+    fields = StructType.fromDDL(layout).fields
+    return df.withColumns({f.name: lenient_cast(df.schema[f.name], f) for f in fields})
 
 
 def prepare_sales_customers(df: DataFrame) -> DataFrame:
