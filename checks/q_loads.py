@@ -336,9 +336,10 @@ def _(d):
     _event_text(d).write.option("header", True).csv(f"{path}/a")
     _event_text(d).where("event_type = 'view'").write.option("header", True).csv(f"{path}/b")
     for n, name in enumerate("ab"):
-        raw = readers.csv_as_text(d.spark, f"{path}/{name}")
-        house.ingest(raw, "bronze.events", f"landing/{name}", DAYS[n], name)
-    return house.source("bronze.events")
+        house.ingest_files(f"{path}/{name}", "bronze.events", "csv", as_of=DAYS[n], batch_id=name)
+    return house.source("bronze.events").withColumn(
+        "_source_file", F.concat(F.lit("landing/"), F.substring_index("_source_file", "/", -1))
+    )
 
 
 @query("i2_newer_than_watermark", "SELECT * FROM silver_store WHERE _ingestion_timestamp > (SELECT max(_ingestion_timestamp) FROM silver_store WHERE event_type = 'view' AND _ingestion_timestamp < TIMESTAMP '2024-01-04')")

@@ -27,9 +27,10 @@ def newer_than(source: DataFrame, watermark, time_column: str = INGESTED) -> Dat
     """
     if watermark is None:
         return source
-    return source.where(F.col(time_column).try_cast("timestamp") > F.lit(watermark)) if (
-        dict(source.dtypes)[time_column] == "string"
-    ) else source.where(F.col(time_column) > F.lit(watermark))
+    time = F.col(time_column)
+    if dict(source.dtypes)[time_column] == "string":
+        time = time.try_cast("timestamp")
+    return source.where(time > F.lit(watermark))
 
 
 def between(

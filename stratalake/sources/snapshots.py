@@ -11,6 +11,9 @@ of its keys. A merge reads and rewrites only the buckets its source touches. Row
 ``append_only`` mark (closed history, log tables) live in bucket -1, which is only added to.
 One writer per table at a time; readers are not blocked.
 
+The history keeps the newest ingestion time of every folder. So the watermark of a table costs no
+scan, and an incremental read opens only folders that can hold newer rows.
+
 Only history rows and bucket numbers reach the driver, never table data. Choose the number of
 buckets so that one bucket is about one well-sized file (table size / 512 MB).
 """
@@ -36,6 +39,7 @@ from pyspark.sql.types import (
 )
 
 VERSION, BUCKET = "snap_version", "snap_bucket"
+INGESTED = "_ingestion_timestamp"
 APPEND_BUCKET = -1
 HISTORY = StructType(
     [
@@ -43,6 +47,7 @@ HISTORY = StructType(
         StructField("operation", StringType()),
         StructField("rewritten", ArrayType(IntegerType())),
         StructField("written", MapType(IntegerType(), LongType())),
+        StructField("newest", MapType(IntegerType(), TimestampType())),
         StructField("rows_written", LongType()),
         StructField("metrics", MapType(StringType(), LongType())),
         StructField("schema_json", StringType()),
@@ -118,30 +123,49 @@ class SnapshotTable:
 
     # -- reading ------------------------------------------------------------------------------
 
-    def _folders(self, log: Sequence[Row], only: set[int] | None = None) -> list[str]:
-        """Folders that make up the last version in ``log``, optionally of some buckets only."""
-        live: dict[int, list[int]] = {}
+    def _live(self, log: Sequence[Row]) -> dict[int, list[Row]]:
+        """Per bucket, the history rows whose folders make up the last version in ``log``."""
+        live: dict[int, list[Row]] = {}
         for entry in log:
             for bucket in entry["rewritten"] or ():
                 live[bucket] = []
             for bucket in entry["written"] or ():
-                live.setdefault(bucket, []).append(entry["version"])
-        return [
-            f"{self.path}/data/{VERSION}={v}/{BUCKET}={b}"
-            for b, versions in sorted(live.items())
-            if only is None or b in only
-            for v in versions
-        ]
+                live.setdefault(bucket, []).append(entry)
+        return live
 
-    def _load(self, log: Sequence[Row], only: set[int] | None = None) -> DataFrame:
+    def _load(
+        self, log: Sequence[Row], only: set[int] | None = None, newer_than: datetime | None = None
+    ) -> DataFrame:
         schema = StructType.fromJson(json.loads(log[-1]["schema_json"]))
-        folders = self._folders(log, only)
+        folders = [
+            f"{self.path}/data/{VERSION}={entry['version']}/{BUCKET}={bucket}"
+            for bucket, entries in sorted(self._live(log).items())
+            if only is None or bucket in only
+            for entry in entries
+            if newer_than is None or _may_exceed(entry["newest"].get(bucket), newer_than)
+        ]
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
-    def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
-        """The newest rows, those of a version, or those at a time."""
+    def watermark(self) -> datetime | None:
+        """Newest ingestion time of the current rows, taken from the history."""
+        times = [
+            entry["newest"][bucket]
+            for bucket, entries in self._live(self._log()).items()
+            for entry in entries
+            if entry["newest"].get(bucket)
+        ]
+        return max(times, default=None)
+
+    def read(
+        self, version: int | None = None, as_of: datetime | None = None, newer_than: datetime | None = None
+    ) -> DataFrame:
+        """The newest rows, those of a version, or those at a time.
+
+        ``newer_than`` leaves out folders without a row ingested after that time; the folders that
+        are read may hold older rows too.
+        """
         if as_of is not None:
             version = self.version_at(as_of)
             if version is None:
@@ -149,7 +173,7 @@ class SnapshotTable:
         log = self._log(version)
         if not log or (version is not None and log[-1]["version"] != version):
             raise VersionNotFoundError(f"{self.path} has no version {version}")
-        return self._load(log)
+        return self._load(log, newer_than=newer_than)
 
     def read_or_none(self) -> DataFrame | None:
         log = self._log()
@@ -189,13 +213,18 @@ class SnapshotTable:
             # One folder per bucket with few files; AQE splits a bucket that grew too large.
             placed = placed.hint("rebalance", BUCKET)
         placed.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-        stored = self.spark.read.schema(StructType().add(BUCKET, IntegerType())).parquet(target)
-        written = {r[BUCKET]: r["n"] for r in stored.groupBy(BUCKET).agg(F.count("*").alias("n")).collect()}
+        timed = INGESTED in rows.columns and rows.schema[INGESTED].dataType == TimestampType()
+        needed = [StructField(INGESTED, TimestampType())] if timed else []
+        stored = self.spark.read.schema(StructType([*needed, StructField(BUCKET, IntegerType())])).parquet(target)
+        newest = F.max(INGESTED) if timed else F.lit(None).cast("timestamp")
+        per_bucket = stored.groupBy(BUCKET).agg(F.count("*").alias("n"), newest.alias("newest")).collect()
+        written = {r[BUCKET]: r["n"] for r in per_bucket}
         entry = Row(
-            committed_at=as_of or datetime.now(timezone.utc).replace(tzinfo=None),
+            committed_at=as_of or datetime.now(timezone.utc),
             operation=operation,
             rewritten=sorted(rewritten),
             written=written,
+            newest={r[BUCKET]: r["newest"] for r in per_bucket},
             rows_written=sum(written.values()),
             metrics=metrics or {},
             schema_json=schema.json(),
@@ -214,7 +243,7 @@ class SnapshotTable:
     def overwrite(self, rows: DataFrame, as_of=None, operation="overwrite", metrics=None) -> int:
         """Create the table or replace all its rows (also the refresh of a materialized result)."""
         log = self._log()
-        live = sorted({int(f.rsplit("=", 1)[1]) for f in self._folders(log)})
+        live = sorted(self._live(log))
         version = log[-1]["version"] + 1 if log else 0
         return self._commit(rows, operation, live, rows.schema, as_of, metrics, None, None, version)
 
@@ -252,6 +281,11 @@ class SnapshotTable:
         )
 
 
+def _may_exceed(newest: datetime | None, moment: datetime) -> bool:
+    """A folder without a recorded time may hold anything."""
+    return newest is None or newest > moment
+
+
 def widen(old: StructType, new: StructType) -> StructType:
     """Columns of both; a column that changed its type is an error."""
     known = {f.name: f.dataType for f in old.fields}

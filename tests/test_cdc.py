@@ -6,7 +6,7 @@ from stratalake.operators.cdc import fold_cells, fold_changes, from_cells, merge
 SCHEMA = "k int, s int, a int, b int"
 maybe = st.one_of(st.none(), st.integers(0, 3))
 changes = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5), maybe, maybe), min_size=1, max_size=24)
-relaxed = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+relaxed = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def as_bag(df):

@@ -134,3 +134,13 @@ def test_slices(frame, bag):
 def test_rows_with_unknown_delete_flag_are_on_no_side(frame):
     deletes, upserts = split_deletes(frame(RAW, ("1", "a", True), ("2", "b", False), ("3", "c", None)))
     assert (deletes.count(), upserts.count()) == (1, 1)
+
+
+def test_folder_ingestion_and_absent_folder(house, frame, spark, tmp_path):
+    path = str(tmp_path / "raw")
+    with pytest.raises(MissingSourceError):
+        house.ingest_files(path, "bronze.raw")
+    frame("n int", (7,)).write.json(path)
+    house.ingest_files(path, "bronze.raw", as_of=DAY[0], batch_id="b")
+    row = house.source("bronze.raw").first()
+    assert (row["n"], row["_source_file"], row["_batch_id"], row["_is_deleted"]) == ("7", path, "b", False)

@@ -50,7 +50,7 @@ def test_keys_that_collide_after_the_cast_are_reported(frame):
 rows = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 4), st.one_of(st.none(), st.integers(0, 3))), max_size=25)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=rows)
 def test_latest_row_against_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "k int, t int, v int").repartition(3)

@@ -55,7 +55,7 @@ def test_rows_without_a_key_are_not_stored(frame):
 deliveries = st.lists(st.dictionaries(st.integers(0, 3), st.sampled_from(["x", "y", None]), max_size=4), min_size=1, max_size=4)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(deliveries=deliveries)
 def test_laws_over_several_deliveries(spark, deliveries):
     history = spark.createDataFrame([], "k int, a string, effective_from timestamp, effective_to timestamp, is_current boolean")

@@ -109,3 +109,20 @@ def test_sql_over_a_version(table, frame, spark):
     table.append(frame("k int, v string", (2, "a")), DAY[1])
     table.register("before_append", version=0)
     assert spark.sql("SELECT count(*) FROM before_append").first()[0] == 1
+
+
+def test_watermark_and_folder_skipping_from_the_history(spark, tmp_path, frame, bag):
+    schema = "k int, v string, _is_deleted boolean, _ingestion_timestamp timestamp"
+    table = SnapshotTable(spark, str(tmp_path / "w"), ["k"], buckets=8)
+    table.overwrite(frame(schema, *[(n, "a", False, DAY[0]) for n in range(30)]), DAY[0])
+    table.merge(frame(schema, (5, "b", False, DAY[3])), lambda t, s: merge_upsert(t, s, ["k"]), DAY[3])
+    assert table.watermark() == DAY[3]
+    newer = table.read(newer_than=DAY[0])
+    assert len(newer.inputFiles()) < len(table.read().inputFiles())
+    assert bag(newer.where(F.col("_ingestion_timestamp") > DAY[0]), "k") == [(5,)]
+    assert table.read(newer_than=DAY[3]).isEmpty()
+    table.merge(frame(schema, (5, None, True, DAY[4])), lambda t, s: merge_upsert(t, s, ["k"]), DAY[4])
+    assert table.watermark() == table.read().agg(F.max("_ingestion_timestamp")).first()[0] == DAY[0]
+    log = SnapshotTable(spark, str(tmp_path / "untimed"))
+    log.append(frame("a int", (1,)), DAY[0])
+    assert log.watermark() is None and log.read(newer_than=DAY[5]).count() == 1
