@@ -103,7 +103,7 @@ SELECT s.*, {ZONE} FROM (
     FROM typed_trips GROUP BY PULocationID, payment_type) s
 LEFT JOIN zone_file z ON s.PULocationID = z.LocationID ORDER BY revenue_by_payment DESC"""
 HOURLY_SQL = f"""
-SELECT hour(tpep_pickup_datetime) AS hour, count(*) AS num_trips, {mean("total_amount")} AS avg_fare, {mean("trip_distance")} AS avg_distance
+SELECT hour(tpep_pickup_datetime)::INT AS hour, count(*) AS num_trips, {mean("total_amount")} AS avg_fare, {mean("trip_distance")} AS avg_distance
 FROM typed_trips GROUP BY 1 ORDER BY 1"""
 VENDOR_SQL = f"""
 SELECT VendorID, count(*) AS num_trips, {mean("total_amount")} AS avg_fare, {mean("tip_amount")} AS avg_tip, {mean("trip_distance")} AS avg_distance
@@ -169,8 +169,8 @@ MINUTES = rounded("(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime))
 @query(
     "g12_trip_time_patterns",
     f"""
-SELECT hour(tpep_pickup_datetime) AS pickup_hour, dayofweek(tpep_pickup_datetime) + 1 AS pickup_dayofweek,
-    dayname(tpep_pickup_datetime) AS pickup_dayname, month(tpep_pickup_datetime) AS pickup_month, count(*) AS total_trips,
+SELECT hour(tpep_pickup_datetime)::INT AS pickup_hour, (dayofweek(tpep_pickup_datetime) + 1)::INT AS pickup_dayofweek,
+    dayname(tpep_pickup_datetime) AS pickup_dayname, month(tpep_pickup_datetime)::INT AS pickup_month, count(*) AS total_trips,
     {rounded(mean("total_amount"), 2)} AS avg_total_amount, {rounded(mean("duration"), 1)} AS avg_duration_minutes,
     {rounded(mean("trip_distance"), 2)} AS avg_distance_miles, {rounded("avg(passenger_count)", 1)} AS avg_passengers,
     count(*) FILTER (WHERE RatecodeID IN (2, 3)) AS airport_trips
@@ -185,7 +185,7 @@ def _(d):
     f"""
 SELECT * FROM (
     SELECT p.borough AS pickup_borough, p.zone AS pickup_zone, q.borough AS dropoff_borough, q.zone AS dropoff_zone,
-        month(tpep_pickup_datetime) AS pickup_month, hour(tpep_pickup_datetime) AS pickup_hour,
+        month(tpep_pickup_datetime)::INT AS pickup_month, hour(tpep_pickup_datetime)::INT AS pickup_hour,
         dayname(tpep_pickup_datetime) AS pickup_dayname, RatecodeID IN (2, 3) AS is_airport_trip,
         CASE payment_type WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No Charge' WHEN 4 THEN 'Dispute' ELSE 'Unknown' END AS payment_type_label,
         count(*) AS total_trips, {rounded(total("fare_amount"), 2)} AS total_fare, {rounded(mean("fare_amount"), 2)} AS avg_fare,

@@ -14,7 +14,7 @@ from stratalake.operators import merge as m
 from stratalake.operators import scd2
 from stratalake.operators import transforms as t
 from stratalake.operators.dedup import latest_per_key, latest_per_key_sql
-from stratalake.plans.layers import CUSTOMER_HISTORY, SALES_LOADS, STORE_LOADS, Lakehouse, Load
+from stratalake.plans.layers import CUSTOMER_HISTORY, SALES_LOADS, STORE_LOADS, USER_HISTORY, Lakehouse
 from stratalake.plans.sales import customer_sales_summary
 from stratalake.plans.trips import vendor_stats
 from stratalake.sources import readers, writers
@@ -570,6 +570,25 @@ def _(d):
     return house.source(CUSTOMER_HISTORY.target)
 
 
+@query(
+    "x7_user_history_load",
+    "SELECT user_id, count(DISTINCT user_session) > 0 AS has_session, 1::BIGINT AS versions, TRUE AS current FROM silver_store GROUP BY user_id",
+)
+def _(d):
+    """Users twice, the second time newer but with the same attributes: no second version."""
+    house = Lakehouse(d.spark, d.scratch("x7u"), buckets=4)
+    store = house.table("silver.ecommerce_store")
+    store.append(d.store, DAYS[0])
+    house.load(USER_HISTORY, as_of=DAYS[0])
+    store.append(d.store.withColumn("_ingestion_timestamp", F.lit("2024-02-10").cast("timestamp")), DAYS[1])
+    house.load(USER_HISTORY, as_of=DAYS[1])
+    return house.source(USER_HISTORY.target).groupBy("user_id").agg(
+        (F.count("user_session") > 0).alias("has_session"),
+        F.count("*").alias("versions"),
+        F.bool_and("is_current").alias("current"),
+    )
+
+
 @query(
     "x8_inject_change",
     """SELECT * FROM silver_transactions UNION ALL SELECT * EXCLUDE (rn) REPLACE ('gift' AS product, TIMESTAMP '2024-02-10' AS _ingestion_timestamp)

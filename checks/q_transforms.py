@@ -353,8 +353,8 @@ def _(d):
 
 @query(
     "d1_to_d4_time_fields",
-    """SELECT event_time, hour(event_time) AS hour, dayofweek(event_time) + 1 AS day_of_week, dayname(event_time) AS day_name,
-    month(event_time) AS month FROM silver_store""",
+    """SELECT event_time, hour(event_time)::INT AS hour, (dayofweek(event_time) + 1)::INT AS day_of_week, dayname(event_time) AS day_name,
+    month(event_time)::INT AS month FROM silver_store""",
 )
 def _(d):
     time = F.col("event_time")
@@ -403,14 +403,14 @@ def _(d):
 
 @query(
     "d9_hour_parts",
-    """SELECT event_time, year(event_time) AS year, month(event_time) AS month, day(event_time) AS day,
-    hour(event_time) AS hour FROM silver_store""",
+    """SELECT event_time, year(event_time)::INT AS year, month(event_time)::INT AS month, day(event_time)::INT AS day,
+    hour(event_time)::INT AS hour FROM silver_store""",
 )
 def _(d):
     return d.store.select("event_time").withColumns(c.hour_parts(F.col("event_time")))
 
 
-@query("d10_batch_id", "SELECT count(*) AS rows, 1 AS batch_ids FROM orders")
+@query("d10_batch_id", "SELECT count(*) AS rows, 1::BIGINT AS batch_ids FROM orders")
 def _(d):
     loaded = t.add_lineage(d.base("orders"), datetime.fromisoformat(AS_OF), "orders", str(uuid.uuid4()))
     return loaded.agg(F.count("*").alias("rows"), F.count_distinct("_batch_id").alias("batch_ids"))

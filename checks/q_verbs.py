@@ -138,7 +138,7 @@ def _(d):
     return d.trips.groupBy("PULocationID", "payment_type", "RatecodeID", "VendorID").agg(F.count("*").alias("n"))
 
 
-@query("a3_group_by_expression", "SELECT hour(tpep_pickup_datetime) AS pickup_hour, count(*) AS n FROM typed_trips GROUP BY 1")
+@query("a3_group_by_expression", "SELECT hour(tpep_pickup_datetime)::INT AS pickup_hour, count(*) AS n FROM typed_trips GROUP BY 1")
 def _(d):
     return d.trips.groupBy(F.hour("tpep_pickup_datetime").alias("pickup_hour")).agg(F.count("*").alias("n"))
 
@@ -287,7 +287,7 @@ def _(d):
 
 @query(
     "o2_order_by_several",
-    """SELECT month(tpep_pickup_datetime) AS month, hour(tpep_pickup_datetime) AS hour, count(*) AS n
+    """SELECT month(tpep_pickup_datetime)::INT AS month, hour(tpep_pickup_datetime)::INT AS hour, count(*) AS n
 FROM typed_trips GROUP BY 1, 2 ORDER BY 1, 2""",
 )
 def _(d):

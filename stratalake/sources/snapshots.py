@@ -9,10 +9,12 @@ The history row is written last by a single-file Spark write. It is the commit p
 data of a broken attempt is never read, and the next attempt overwrites it. A row's bucket is a hash
 of its keys. A merge reads and rewrites only the buckets its source touches. Rows with an
 ``append_only`` mark (closed history, log tables) live in bucket -1, which is only added to.
-One writer per table at a time; readers are not blocked.
+One writer per table at a time; readers are not blocked. Several folders of one bucket are the
+result of appends.
 
-The history keeps the newest ingestion time of every folder. So the watermark of a table costs no
-scan, and an incremental read opens only folders that can hold newer rows.
+A history row lists all folders of its version with their newest ingestion time. So a version is
+opened by reading one history file, the watermark of a table costs no scan, and an incremental read
+opens only folders that can hold newer rows.
 
 Only history rows and bucket numbers reach the driver, never table data. Choose the number of
 buckets so that one bucket is about one well-sized file (table size / 512 MB).
@@ -21,7 +23,9 @@ buckets so that one bucket is about one well-sized file (table size / 512 MB).
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -41,23 +45,38 @@ from pyspark.sql.types import (
 VERSION, BUCKET = "snap_version", "snap_bucket"
 INGESTED = "_ingestion_timestamp"
 APPEND_BUCKET = -1
+FOLDER = StructType(
+    [
+        StructField("bucket", IntegerType()),
+        StructField("version", LongType()),
+        StructField("rows", LongType()),
+        StructField("newest", TimestampType()),
+    ]
+)
 HISTORY = StructType(
     [
         StructField("committed_at", TimestampType()),
         StructField("operation", StringType()),
         StructField("rewritten", ArrayType(IntegerType())),
-        StructField("written", MapType(IntegerType(), LongType())),
-        StructField("newest", MapType(IntegerType(), TimestampType())),
         StructField("rows_written", LongType()),
         StructField("metrics", MapType(StringType(), LongType())),
+        StructField("folders", ArrayType(FOLDER)),
         StructField("schema_json", StringType()),
-        StructField("stream_id", StringType()),
-        StructField("batch_id", LongType()),
-        StructField(VERSION, LongType()),
+        StructField("streams", MapType(StringType(), LongType())),
     ]
 )
 
 
+@dataclass(frozen=True)
+class State:
+    """What one version consists of."""
+
+    version: int
+    schema: StructType
+    folders: list[Row]
+    streams: dict[str, int]
+
+
 class VersionNotFoundError(LookupError):
     """The table has no such version."""
 
@@ -85,32 +104,37 @@ class SnapshotTable:
 
     def history(self) -> DataFrame:
         """One row per version; ``version`` and ``timestamp`` first."""
+        if not self.versions():
+            rows = self.spark.createDataFrame([], StructType([*HISTORY.fields, StructField(VERSION, LongType())]))
+        else:
+            rows = self._history_files()
+        return rows.select(
+            F.col(VERSION).cast("bigint").alias("version"),
+            F.col("committed_at").alias("timestamp"),
+            *[c for c in HISTORY.names if c != "committed_at"],
+        )
+
+    def _history_files(self) -> DataFrame:
+        return self.spark.read.schema(HISTORY).parquet(f"{self.path}/history")
+
+    def versions(self) -> list[int]:
+        """Committed versions, from the file listing alone."""
         try:
-            rows = self.spark.read.schema(HISTORY).parquet(f"{self.path}/history")
+            files = self._history_files().inputFiles()
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = self.spark.createDataFrame([], HISTORY)
-        return rows.select(
-            F.col(VERSION).alias("version"),
-            F.col("committed_at").alias("timestamp"),
-            *[c for c in HISTORY.names if c not in (VERSION, "committed_at")],
-        )
+            return []
+        return sorted({int(re.search(rf"{VERSION}=(\d+)", f).group(1)) for f in files})
 
     def newest_versions(self, count: int = 2) -> DataFrame:
         return self.history().select("version", "timestamp", "operation", "metrics").orderBy(F.desc("version")).limit(count)
 
-    def _log(self, version: int | None = None) -> list[Row]:
-        log = self.history()
-        if version is not None:
-            log = log.where(F.col("version") <= version)
-        return sorted(log.collect(), key=lambda r: r["version"])
-
     def exists(self) -> bool:
-        return not self.history().isEmpty()
+        return bool(self.versions())
 
     def version(self) -> int | None:
-        return self.history().agg(F.max("version")).first()[0]
+        return max(self.versions(), default=None)
 
     def version_at(self, moment: datetime) -> int | None:
         """Newest version committed at or before ``moment``; None when the table is younger."""
@@ -119,44 +143,37 @@ class SnapshotTable:
 
     def last_batch(self, stream_id: str) -> int | None:
         """Newest stream batch already committed, to skip a replay."""
-        return self.history().where(F.col("stream_id") == stream_id).agg(F.max("batch_id")).first()[0]
+        state = self._state()
+        return state.streams.get(stream_id) if state else None
+
+    def _state(self, version: int | None = None) -> State | None:
+        """The layout of a version (default: the newest); opens one history file."""
+        known = self.versions()
+        if version is None:
+            if not known:
+                return None
+            version = known[-1]
+        elif version not in known:
+            raise VersionNotFoundError(f"{self.path} has no version {version}")
+        row = self.spark.read.schema(HISTORY).parquet(f"{self.path}/history/{VERSION}={version}").first()
+        return State(version, StructType.fromJson(json.loads(row["schema_json"])), row["folders"], row["streams"])
 
     # -- reading ------------------------------------------------------------------------------
 
-    def _live(self, log: Sequence[Row]) -> dict[int, list[Row]]:
-        """Per bucket, the history rows whose folders make up the last version in ``log``."""
-        live: dict[int, list[Row]] = {}
-        for entry in log:
-            for bucket in entry["rewritten"] or ():
-                live[bucket] = []
-            for bucket in entry["written"] or ():
-                live.setdefault(bucket, []).append(entry)
-        return live
-
-    def _load(
-        self, log: Sequence[Row], only: set[int] | None = None, newer_than: datetime | None = None
-    ) -> DataFrame:
-        schema = StructType.fromJson(json.loads(log[-1]["schema_json"]))
-        folders = [
-            f"{self.path}/data/{VERSION}={entry['version']}/{BUCKET}={bucket}"
-            for bucket, entries in sorted(self._live(log).items())
-            if only is None or bucket in only
-            for entry in entries
-            if newer_than is None or _may_exceed(entry["newest"].get(bucket), newer_than)
+    def _load(self, state: State, only: set[int] | None = None, newer_than: datetime | None = None) -> DataFrame:
+        paths = [
+            f"{self.path}/data/{VERSION}={f['version']}/{BUCKET}={f['bucket']}"
+            for f in state.folders
+            if (only is None or f["bucket"] in only) and (newer_than is None or _may_exceed(f["newest"], newer_than))
         ]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
+        if not paths:
+            return self.spark.createDataFrame([], state.schema)
+        return self.spark.read.schema(state.schema).parquet(*paths)
 
     def watermark(self) -> datetime | None:
         """Newest ingestion time of the current rows, taken from the history."""
-        times = [
-            entry["newest"][bucket]
-            for bucket, entries in self._live(self._log()).items()
-            for entry in entries
-            if entry["newest"].get(bucket)
-        ]
-        return max(times, default=None)
+        state = self._state()
+        return max((f["newest"] for f in state.folders if f["newest"]), default=None) if state else None
 
     def read(
         self, version: int | None = None, as_of: datetime | None = None, newer_than: datetime | None = None
@@ -170,14 +187,14 @@ class SnapshotTable:
             version = self.version_at(as_of)
             if version is None:
                 raise VersionNotFoundError(f"{self.path} has no version at {as_of}")
-        log = self._log(version)
-        if not log or (version is not None and log[-1]["version"] != version):
-            raise VersionNotFoundError(f"{self.path} has no version {version}")
-        return self._load(log, newer_than=newer_than)
+        state = self._state(version)
+        if state is None:
+            raise VersionNotFoundError(f"{self.path} has no version")
+        return self._load(state, newer_than=newer_than)
 
     def read_or_none(self) -> DataFrame | None:
-        log = self._log()
-        return self._load(log) if log else None
+        state = self._state()
+        return self._load(state) if state else None
 
     def register(self, view: str, version: int | None = None, as_of: datetime | None = None) -> None:
         """Make one version available to SQL text."""
@@ -199,61 +216,60 @@ class SnapshotTable:
         self,
         rows: DataFrame,
         operation: str,
-        rewritten: Sequence[int],
+        before: State | None,
+        rewritten: set[int],
         schema: StructType,
         as_of: datetime | None,
-        metrics: dict[str, int] | None,
-        stream_id: str | None,
-        batch_id: int | None,
-        version: int,
+        metrics: dict[str, int] | None = None,
+        streams: dict[str, int] | None = None,
     ) -> int:
+        version = before.version + 1 if before else 0
         target = f"{self.path}/data/{VERSION}={version}"
         placed = rows.withColumn(BUCKET, self._bucket())
         if self.keys:
             # One folder per bucket with few files; AQE splits a bucket that grew too large.
             placed = placed.hint("rebalance", BUCKET)
         placed.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-        timed = INGESTED in rows.columns and rows.schema[INGESTED].dataType == TimestampType()
-        needed = [StructField(INGESTED, TimestampType())] if timed else []
-        stored = self.spark.read.schema(StructType([*needed, StructField(BUCKET, IntegerType())])).parquet(target)
-        newest = F.max(INGESTED) if timed else F.lit(None).cast("timestamp")
-        per_bucket = stored.groupBy(BUCKET).agg(F.count("*").alias("n"), newest.alias("newest")).collect()
-        written = {r[BUCKET]: r["n"] for r in per_bucket}
+        kept = [f for f in before.folders if f["bucket"] not in rewritten] if before else []
+        added = self._describe(target, version, rows.schema)
         entry = Row(
             committed_at=as_of or datetime.now(timezone.utc),
             operation=operation,
             rewritten=sorted(rewritten),
-            written=written,
-            newest={r[BUCKET]: r["newest"] for r in per_bucket},
-            rows_written=sum(written.values()),
+            rows_written=sum(f["rows"] for f in added),
             metrics=metrics or {},
+            folders=sorted(kept + added, key=lambda f: (f["bucket"], f["version"])),
             schema_json=schema.json(),
-            stream_id=stream_id,
-            batch_id=batch_id,
+            streams={**(before.streams if before else {}), **(streams or {})},
         )
-        columns = StructType([f for f in HISTORY.fields if f.name != VERSION])
         (
-            self.spark.createDataFrame([entry], columns)
+            self.spark.createDataFrame([entry], HISTORY)
             .coalesce(1)
             .write.mode("errorifexists")
             .parquet(f"{self.path}/history/{VERSION}={version}")
         )
         return version
 
+    def _describe(self, target: str, version: int, schema: StructType) -> list[Row]:
+        """Rows and newest ingestion time of each folder just written; reads at most one column."""
+        timed = INGESTED in schema.names and schema[INGESTED].dataType == TimestampType()
+        needed = [StructField(INGESTED, TimestampType())] if timed else []
+        stored = self.spark.read.schema(StructType([*needed, StructField(BUCKET, IntegerType())])).parquet(target)
+        newest = F.max(INGESTED) if timed else F.lit(None).cast("timestamp")
+        found = stored.groupBy(BUCKET).agg(F.count("*").alias("n"), newest.alias("newest")).collect()
+        return [Row(bucket=r[BUCKET], version=version, rows=r["n"], newest=r["newest"]) for r in found]
+
     def overwrite(self, rows: DataFrame, as_of=None, operation="overwrite", metrics=None) -> int:
         """Create the table or replace all its rows (also the refresh of a materialized result)."""
-        log = self._log()
-        live = sorted(self._live(log))
-        version = log[-1]["version"] + 1 if log else 0
-        return self._commit(rows, operation, live, rows.schema, as_of, metrics, None, None, version)
+        before = self._state()
+        replaced = {f["bucket"] for f in before.folders} if before else set()
+        return self._commit(rows, operation, before, replaced, rows.schema, as_of, metrics)
 
     def append(self, rows: DataFrame, as_of=None, metrics=None) -> int:
         """Add rows; a column new to the table is NULL in older rows and the other way round."""
-        log = self._log()
-        if not log:
-            return self._commit(rows, "create", [], rows.schema, as_of, metrics, None, None, 0)
-        schema = widen(StructType.fromJson(json.loads(log[-1]["schema_json"])), rows.schema)
-        return self._commit(rows, "append", [], schema, as_of, metrics, None, None, log[-1]["version"] + 1)
+        before = self._state()
+        schema = widen(before.schema, rows.schema) if before else rows.schema
+        return self._commit(rows, "append" if before else "create", before, set(), schema, as_of, metrics)
 
     def merge(
         self,
@@ -262,23 +278,22 @@ class SnapshotTable:
         as_of=None,
         operation: str = "merge",
         metrics: dict[str, int] | None = None,
-        stream_id: str | None = None,
-        batch_id: int | None = None,
+        streams: dict[str, int] | None = None,
     ) -> int:
         """``combine(rows of the touched buckets, source)`` replaces those buckets.
 
         ``source`` is read several times: persist it when it is expensive. Rows of the append-only
         bucket are not passed in; rows that ``combine`` marks append-only are added to it.
+        ``streams`` records the last batch of a stream with the version.
         """
-        log = self._log()
-        stored = StructType.fromJson(json.loads(log[-1]["schema_json"]))
-        source = source.withColumns({k: F.col(k).cast(stored[k].dataType) for k in self.keys})
+        before = self._state()
+        if before is None:
+            raise VersionNotFoundError(f"{self.path} has no version")
+        source = source.withColumns({k: F.col(k).cast(before.schema[k].dataType) for k in self.keys})
         touched = {r[0] for r in source.select(self._hash()).distinct().collect()}
-        result = combine(self._load(log, touched), source)
-        schema = widen(stored, result.schema)
-        return self._commit(
-            result, operation, sorted(touched), schema, as_of, metrics, stream_id, batch_id, log[-1]["version"] + 1
-        )
+        result = combine(self._load(before, touched), source)
+        schema = widen(before.schema, result.schema)
+        return self._commit(result, operation, before, touched, schema, as_of, metrics, streams)
 
 
 def _may_exceed(newest: datetime | None, moment: datetime) -> bool:

@@ -90,8 +90,7 @@ def fold_into(
                 folded,
                 lambda state, cells: merge_cells(state, cells, keys),
                 operation="fold",
-                stream_id=stream_id,
-                batch_id=batch_id,
+                streams={stream_id: batch_id},
             )
         finally:
             folded.unpersist()

@@ -64,7 +64,7 @@ def test_data_of_a_broken_attempt_is_never_read(table, frame, bag, spark):
 def test_a_version_is_committed_once(table, frame):
     table.overwrite(frame("k int", (1,)), DAY[0])
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        table._commit(frame("k int", (2,)), "x", [], frame("k int", (2,)).schema, DAY[1], None, None, None, 0)
+        table._commit(frame("k int", (2,)), "x", None, set(), frame("k int", (2,)).schema, DAY[1])
 
 
 def test_new_columns_and_changed_types(spark, tmp_path, frame, bag):
@@ -95,6 +95,7 @@ def test_closed_history_is_only_added_to(spark, tmp_path, frame, bag):
     assert rows.count() == 14 and rows.where("is_current").count() == 12
     assert bag(rows.where("k = 3"), "a", "is_current") == [("v1", False), ("v2", True), ("x", False)]
     assert all(-1 not in r["rewritten"] for r in table.history().collect())
+    assert [f["version"] for f in table._state().folders if f["bucket"] == -1] == [1, 2]
     assert table.read(version=1).count() == 13
 
 
