@@ -24,11 +24,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    assert set(entry_points.STATEMENTS) == set(entry_points.QUERIES)
 
 
 KINDS = ("g", "w", "f9", "i1_", "i8_incremental_load", "k3", "k5", "k9", "q16", "q17_rule", "s9_read", "t1", "t3", "t5_trips", "t6", "x6")
-NAMES = [n for n in sorted(entry_points.queries()) if os.environ.get("CHECK_ALL") or n.startswith(KINDS)]
+NAMES = [n for n in sorted(entry_points.QUERIES) if os.environ.get("CHECK_ALL") or n.startswith(KINDS)]
 
 
 @pytest.mark.parametrize("name", NAMES)
