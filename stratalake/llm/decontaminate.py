@@ -43,10 +43,6 @@ BROADCAST_WORDS = 4_000_000
 BROADCAST_ROWS = 1_000_000
 
 
-def _text_key():
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
-
-
 def item_words(items: DataFrame) -> DataFrame:
     """(uid, item_id, words): word hashes of every item with a word; equal word sequences share a uid."""
 
@@ -113,7 +109,7 @@ def build_index(docs: DataFrame, terms: np.ndarray | None) -> DataFrame:
                     ["doc_id", "text_key", "n_words", "terms", "positions"],
                 )
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key(), F.col("text"))
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), store.text_key().alias("text_key"), F.col("text"))
     return chosen.mapInArrow(run, "doc_id long, text_key long, n_words long, terms array<long>, positions array<array<int>>")
 
 
@@ -180,7 +176,7 @@ class Index:
         texts = self.texts
         places = store.keep(self.candidates(), "places")
         per_doc = places.join(texts, "uid").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("uid", "diagonal", "words")).alias("places"))
-        keys = F.struct(F.col("doc_id").cast("long").alias("doc_id"), _text_key())
+        keys = F.struct(F.col("doc_id").cast("long").alias("doc_id"), store.text_key().alias("text_key"))
         docs = self.docs.select(keys.alias("k"), "text").select("k.doc_id", "k.text_key", "text")
         found = places.select("doc_id", "text_key").distinct()
         held = docs.join(store.broadcast_below(found.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")), "left_semi")

@@ -106,12 +106,12 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """(row, doc_id, n, node, bands, prefix) per document; bands and prefix once per node and task, else null."""
+    """(row, doc_id, text_key, n, node, bands, prefix) per document; bands and prefix once per node and task, else null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, seen = TaskContext.get().partitionId() << 36, set()
         for batch in batches:
-            for w in tx.words(batch.column(1), tx.SPACED):
+            for w in tx.words(batch.column(2), tx.SPACED):
                 n, node, bands, prefix = [], [], [], []
                 for tokens in shingle_sets(w):
                     name = node_of(tokens) if len(tokens) else 0
@@ -129,13 +129,14 @@ def sketch(docs: DataFrame, last: np.ndarray) -> DataFrame:
                 row += w.rows
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rows), batch.column(0).slice(w.first, w.rows), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                        pa.array(bands, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64())),
+                        pa.array(rows), batch.column(0).slice(w.first, w.rows), batch.column(1).slice(w.first, w.rows),
+                        pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64())),
                     ],
-                    ["row", "doc_id", "n", "node", "bands", "prefix"],
+                    ["row", "doc_id", "text_key", "n", "node", "bands", "prefix"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, n long, node long, bands array<long>, prefix array<long>")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), store.text_key().alias("text_key"), "text")
+    return chosen.mapInArrow(run, "row long, doc_id long, text_key long, n long, node long, bands array<long>, prefix array<long>")
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -267,7 +268,7 @@ def open_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
-    """Per document row: row, doc_id, n_shingles, component_id, and first (it is the one of its component to stay)."""
+    """Per document row: row, doc_id, text_key, n_shingles, component_id, and first (it is the one of its component to stay)."""
     table = store.keep(sketch(docs, frequent_tokens(docs)), "sketch")
     nodes = table.where("prefix IS NOT NULL")
     inside = verified(leader_pairs(nodes), docs)
@@ -286,8 +287,8 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     per_node = per_node.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     per_part = per_node.groupBy("label").agg(F.min("best").alias("best"))
     found = per_node.select("node", "label").join(per_part, "label").select("node", F.col("best.doc_id").alias("smallest"), F.col("best.row").alias("stays"))
-    out = table.select("row", "doc_id", F.col("n").alias("n_shingles"), "node").join(store.keep(found, "components"), "node", "left")
+    out = table.select("row", "doc_id", "text_key", F.col("n").alias("n_shingles"), "node").join(store.keep(found, "components"), "node", "left")
     alone = F.col("n_shingles") == 0
     return out.select(
-        "row", "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"), (alone | (F.col("row") == F.col("stays"))).alias("first")
+        "row", "doc_id", "text_key", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"), (alone | (F.col("row") == F.col("stays"))).alias("first")
     )

@@ -45,6 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_key():
+    """Hash of the text; null and the empty text are alike."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def training_row(column: str = "doc_id"):
     """crc32 of the id as text, modulo 4, is not 2; a row without id is not used for training."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 != 2, F.lit(False))

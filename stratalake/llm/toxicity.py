@@ -37,7 +37,11 @@ from stratalake.llm import text as tx
 SAMPLE = 20_000
 HEADS = (4, 5, 6)
 #: Texts that are labelled toxic among those with the word, at least.
-PRECISION = 0.8
+PRECISION = 0.95
+#: Part of the toxic texts that hold a word or beginning, at least: what a group of near copies repeats is no insult.
+SUPPORT = 0.02
+#: Log likelihood ratio over the logarithm of the number of candidates, at least.
+EVIDENCE = -5.0
 BIAS, MOST = -3.0, 5.0
 THRESHOLD = 0.3
 
@@ -186,7 +190,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         rate = total["pos"] / (total["pos"] + total["neg"])
         share = F.expr("pos / (pos + neg)")
         ratio = F.col("pos") * F.log(share / rate) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-        chosen = counts.where((F.col("feature") != "") & (share >= PRECISION) & (ratio >= math.log(n_features) + 1))
+        chosen = counts.where((F.col("feature") != "") & (share >= PRECISION) & (F.col("pos") >= SUPPORT * total["pos"]) & (ratio >= math.log(n_features) + EVIDENCE))
         odds = math.log((total["pos"] + 1) / (total["neg"] + 1))
         for r in chosen.collect():
             weight = math.log((r["pos"] + 0.5) / (r["neg"] + 0.5)) - odds
