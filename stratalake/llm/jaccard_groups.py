@@ -40,10 +40,11 @@ from stratalake.llm.graph import components
 SHINGLE = 5
 #: Similarity as a ratio of whole numbers.
 NUM, DEN = 3, 4
-#: Documents looked at for frequent tokens, and in how many of them a token must be.
-SAMPLE, FREQUENT = 5_000, 10
-#: Frequent tokens that are put last (8 bytes each, sent to every task).
-LAST = 200_000
+#: One document of so many is looked at for frequent tokens (of small tables every one), and in how many of them a token must be.
+ONE_OF, FREQUENT = 20, 3
+SMALL = 5_000
+#: Frequent tokens that are put last (8 bytes each, sent to every task), the most frequent first.
+LAST = 1_000_000
 #: Min-hashes of the bands: texts are compared with a leader when they agree in all of one band.
 BANDS = ((0,), (1,), (2, 3), (4, 5), (6, 7), (8, 9, 10), (11, 12, 13), (14, 15, 16))
 #: Nodes whose sets are asked for by a list sent to the tasks (8 bytes each); beyond, all sets are joined.
@@ -90,8 +91,8 @@ def node_of(tokens: np.ndarray) -> int:
 
 def frequent_tokens(docs: DataFrame) -> np.ndarray:
     """Tokens that many of the sampled documents hold; they only decide the order of tokens."""
-    total = docs.count()
-    sampled = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, total // SAMPLE))) == 0)
+    one_of = min(ONE_OF, max(1, docs.count() // SMALL))
+    sampled = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,9 +263,16 @@ def open_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     by_query = _overlap(F.col("n"), low) - _left(F.col("n"))
     by_member = _overlap(F.col("n"), high) - _left(high)
     need = F.when(F.col("last") <= F.col("first_end"), by_query).when(F.col("last") > F.col("last_end"), by_member).otherwise(F.least(by_query, by_member))
-    opened = met.where((low <= high) & (F.col("common") >= need)).select("q", "g", F.col("n").alias("size"))
-    fits = F.least("n", "size") * DEN >= F.greatest("n", "size") * NUM
-    return opened.join(of.select("g", F.col("node").alias("s"), "n"), "g").where(fits).select(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b")).distinct()
+    opened = met.where((low <= high) & (F.col("common") >= need)).select("q", "g")
+    # members of open groups that share enough of the query's own tokens
+    tokens = opened.join(placed.select(F.col("node").alias("q"), "token"), "q")
+    shared_with = tokens.join(placed.select("token", "g", F.col("node").alias("s")), ["g", "token"]).groupBy("q", "s").agg(F.count("*").alias("common"))
+    pair = shared_with.join(of.select(F.col("node").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q")), "q")
+    pair = pair.join(of.select(F.col("node").alias("s"), F.col("n").alias("n_s"), F.col("last").alias("last_s")), "s")
+    fits = F.least("n_q", "n_s") * DEN >= F.greatest("n_q", "n_s") * NUM
+    ends_first = F.when(F.col("last_q") <= F.col("last_s"), F.col("n_q")).otherwise(F.col("n_s"))
+    enough = F.col("common") >= _overlap(F.col("n_q"), F.col("n_s")) - _left(ends_first)
+    return pair.where(fits & enough).select(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b"))
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from stratalake.llm.text import ranges
 from stratalake.llm.tokens import ByteBpe
 
 #: Part of the fractional use of a configuration that is rounded down and taken; the rest is packed anew.
-SHARE = 0.8
+SHARE = 0.5
 _encoders: dict[str, ByteBpe] = {}
 
 
@@ -111,36 +111,33 @@ def _knapsack(weight: np.ndarray, count: np.ndarray, capacity: int) -> np.ndarra
     return use
 
 
-def solve_configurations(histogram: np.ndarray, capacity: int, rounds: int = 300, step: float = 0.1) -> tuple[list[tuple[np.ndarray, float]], float]:
+def solve_configurations(histogram: np.ndarray, capacity: int, rounds: int = 600, eta: float = 20.0) -> tuple[list[tuple[np.ndarray, float]], float]:
     """Configurations with their fractional use, and a lower bound on the number of sequences.
 
-    Width-reduced multiplicative weights for the covering program min sum x, A x >= histogram. The
-    weights are prices of the lengths; prices scaled so that no configuration costs more than 1 are
-    dual feasible, which bounds the optimum from below.
+    Multiplicative weights for the covering program min sum x, A x >= histogram: the price of a length is
+    its share of the capacity times exp(-eta * covered part). A round uses the configuration of the
+    highest price as often as covers at most ``step`` of its scarcest length. Prices scaled so that no
+    configuration costs more than 1 are dual feasible, which bounds the optimum from below.
     """
     lengths = np.flatnonzero(histogram)
-    weight = np.zeros(capacity + 1)
-    weight[lengths] = lengths / capacity
+    start = np.arange(capacity + 1) / capacity
+    step = min(1.0, max(0.02, len(lengths) / rounds))
     covered = np.zeros(capacity + 1)
+    wanted = np.maximum(histogram, 1)
     used: dict[bytes, tuple[np.ndarray, float]] = {}
-    bound = float((histogram * np.arange(capacity + 1)).sum() / capacity)
+    bound = float((histogram * start).sum())
     for _ in range(rounds):
-        short = lengths[covered[lengths] < histogram[lengths]]
-        if not len(short):
+        part = covered / wanted
+        if not len(lengths) or part[lengths].min() >= 1:
             break
-        price = np.zeros(capacity + 1)
-        price[short] = weight[short]
-        config = _knapsack(price, np.where(histogram > 0, histogram, 0), capacity)
+        price = np.where(histogram > 0, start * np.exp(-eta * (part - part[lengths].min())), 0)
+        config = _knapsack(price, histogram, capacity)
         on = np.flatnonzero(config)
-        bound = max(bound, float((weight * histogram)[lengths].sum() / max((weight * config).sum(), 1e-12)) if len(short) == len(lengths) else 0)
-        amount = float(np.min((histogram[on] - covered[on]).clip(0) / config[on]))
-        amount = max(min(amount, float(histogram[on].min() / config[on].max()) * max(step, 0.02) * 10), 1e-9)
+        bound = max(bound, float((price * histogram).sum() / (price * config).sum()))
+        amount = step * float((histogram[on] / config[on]).min())
         key = config[on].tobytes() + on.tobytes()
         used[key] = (config, used.get(key, (config, 0.0))[1] + amount)
         covered[on] += amount * config[on]
-        part = amount * config[on] / histogram[on]
-        weight[on] *= np.exp(-step * part / max(part.max(), 1e-12))
-        weight[lengths] = np.maximum(weight[lengths], 1e-6 * lengths / capacity)
     return list(used.values()), bound
 
 
@@ -216,7 +213,7 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
     return chosen
 
 
-def plan_packing(histogram: np.ndarray, capacity: int, rounds: int = 300) -> Plan:
+def plan_packing(histogram: np.ndarray, capacity: int, rounds: int = 600) -> Plan:
     """Whole uses of configurations that cover the histogram exactly."""
     left = histogram.astype(np.int64).copy()
     left[0] = 0

@@ -25,9 +25,19 @@ def folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:16]}"
 
 
+#: Arrow batches sent to Python tasks, so that long texts and large sets do not add up.
+BATCH_BYTES = 64 << 20
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches bounded in bytes, not only in rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back."""
-    path = folder(df.sparkSession, label)
+    path = folder(bounded(df.sparkSession), label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -42,7 +52,7 @@ def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_key():

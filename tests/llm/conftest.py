@@ -1,16 +1,6 @@
 import pytest
 
 
-@pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    from stratalake.session import local_session
-
-    session = local_session(cores=8, shuffle_partitions=4, memory="6g")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    session.sparkContext.setLogLevel("ERROR")
-    return session
-
-
 @pytest.fixture
 def docs(spark):
     """``docs((id, text), ...)`` with the columns of documents."""
