@@ -25,8 +25,8 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and the benchmark; cluster jobs bring their own."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A session for tests and the benchmark with its folder for intermediate tables; cluster jobs bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("stratalake")
@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return configure(builder.getOrCreate())
 
 

@@ -9,8 +9,9 @@ from stratalake.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cores=8, shuffle_partitions=4, memory="6g")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(cores=8, shuffle_partitions=4, memory="6g", shared=shared)
     session.sparkContext.setLogLevel("ERROR")
     return session
 
