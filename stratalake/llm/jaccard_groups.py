@@ -12,7 +12,8 @@
 4. A query node meets the groups that hold some of its tokens; the number of its tokens in a group's union bounds
    its overlap with every member. Groups whose bound does not reach what the sizes demand stay closed.
 5. Only the members of open groups are compared, on whole sets, and only across groups: inside a group
-   the nodes are connected already. Components of the links join the groups.
+   the nodes are connected already. A query first meets one member of each open group; groups that link
+   are joined and the matrix is made anew, so that the rest meets only groups it has no link to yet.
 
 Every pair that links lies in one group or across two of which one is opened to a node of the other, so
 no connection between different texts is lost. Tokens and sets are 64-bit hashes. Nothing but counts and
@@ -26,6 +27,7 @@ copies. An empty table gives no rows. Other columns do not matter, whatever they
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -74,22 +76,38 @@ def shingle_sets(w: tx.Words, size: int = SHINGLE) -> Iterator[np.ndarray]:
             yield h[:0]
 
 
-def ordered(tokens: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Tokens as signed numbers in the common order: frequent ones after all others."""
-    key = tx.signed(tokens >> np.uint64(1))
-    return np.sort(np.where(tx.contains(last, tokens), key, key | np.int64(-(1 << 63))))
+@dataclass
+class Order:
+    """The common order of tokens: by hash, frequent tokens after all others by how frequent they are."""
+
+    token: np.ndarray  # sorted
+    rank: np.ndarray
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        """Tokens as signed numbers, sorted."""
+        key = tx.signed(tokens >> np.uint64(1)) | np.int64(-(1 << 63))
+        if len(self.token):
+            at = np.minimum(np.searchsorted(self.token, tokens), len(self.token) - 1)
+            key = np.where(self.token[at] == tokens, self.rank[at], key)
+        return np.sort(key)
 
 
 def prefix_length(n: int) -> int:
+    """First tokens among which a set of n shares one with every set that it links with."""
     return n - -(-NUM * n // DEN) + 1
 
 
+def short_length(n: int) -> int:
+    """The same for sets that are no smaller."""
+    return n - -(-2 * NUM * n // (NUM + DEN)) + 1
+
+
 def node_of(tokens: np.ndarray) -> int:
     """Name of a set: 64 bits of a sum of mixed tokens."""
     return int(tx.signed(tx.mix(np.array([np.sum(tx.mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64) + np.uint64(len(tokens))])))[0])
 
 
-def frequent_tokens(docs: DataFrame) -> np.ndarray:
+def frequent_tokens(docs: DataFrame) -> Order:
     """Tokens that many of the sampled documents hold; they only decide the order of tokens."""
     one_of = min(ONE_OF, max(1, docs.count() // SMALL))
     sampled = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of)) == 0)
@@ -103,10 +121,12 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
 
     counted = sampled.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     chosen = counted.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(LAST).collect()
-    return np.sort(np.array([r["token"] for r in chosen], np.int64).view(np.uint64))
+    token = np.array([r["token"] for r in chosen], np.int64).view(np.uint64)
+    order = np.argsort(token)
+    return Order(token[order], (len(token) - 1 - np.arange(len(token)))[order])
 
 
-def sketch(docs: DataFrame, last: np.ndarray) -> DataFrame:
+def sketch(docs: DataFrame, order: Order) -> DataFrame:
     """(row, doc_id, text_key, n, node, bands, prefix) per document; bands and prefix once per node and task, else null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +145,7 @@ def sketch(docs: DataFrame, last: np.ndarray) -> DataFrame:
                     seen.add(name)
                     low = np.array([(tokens * odd).min() for odd in _ODD]) * _ODD
                     bands.append(tx.signed(tx.mix(np.array([low[list(band)].sum() for band in BANDS]))))
-                    prefix.append(ordered(tokens, last)[: prefix_length(len(tokens))])
+                    prefix.append(order.of(tokens)[: prefix_length(len(tokens))])
                 rows = np.arange(row, row + w.rows)
                 row += w.rows
                 yield pa.RecordBatch.from_arrays(
@@ -200,34 +220,34 @@ def leader_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def shared_tokens(nodes: DataFrame) -> DataFrame:
-    """(token, node) of the prefix tokens that more than one node has.
+    """(token, node, short) of the prefix tokens that more than one node has; short: among the node's first ``short_length``.
 
     Rows are dealt and sorted by token and read as a stream: a token with very many nodes is a long run, never a group in memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_token, held_node = np.empty(0, np.int64), np.empty(0, np.int64)  # last row; whether its run was told
-        told = False
+        held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
+        told = False  # whether the held row was given out
         for batch in batches:
-            token, node = np.concatenate([held_token, np.asarray(batch.column(0))]), np.concatenate([held_node, np.asarray(batch.column(1))])
+            token, node, short = (np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns))
             if not len(token):
                 continue
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-            token, node = token[new], node[new]
+            token, node, short = token[new], node[new], short[new]
             same = token[1:] == token[:-1]
             more = np.zeros(len(token), bool)
             more[1:] |= same
             more[:-1] |= same
-            if told:
-                more[0] = False
             out = more.copy()
-            last_told = bool(more[-1]) or (told and len(token) == 1)
-            yield pa.RecordBatch.from_arrays([pa.array(token[out]), pa.array(node[out])], ["token", "node"])
-            held_token, held_node, told = token[-1:], node[-1:], last_told
+            out[0] &= not told
+            yield pa.RecordBatch.from_arrays([pa.array(token[out]), pa.array(node[out]), pa.array(short[out])], ["token", "node", "short"])
+            told = bool(more[-1]) or (told and len(token) == 1)
+            held = (token[-1:], node[-1:], short[-1:])
 
-    rows = nodes.select(F.explode("prefix").alias("token"), "node")
-    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long")
+    short = F.col("place") < F.col("n") - F.ceil(F.col("n") * 2 * NUM / F.lit(float(NUM + DEN)) - F.lit(1e-9)) + 1
+    rows = nodes.select(F.posexplode("prefix").alias("place", "token"), "node", "n").select("token", "node", short.alias("short"))
+    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long, short boolean")
 
 
 def _overlap(n: Column, m: Column) -> Column:
@@ -240,55 +260,85 @@ def _left(n: Column) -> Column:
     return F.ceil(n * NUM / F.lit(float(DEN)) - F.lit(1e-9)) - 1
 
 
-def open_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(a, b): nodes of different groups that the token-group matrix does not rule out.
-
-    ``nodes`` (node, n, prefix), ``groups`` (node, label) of the nodes that are not alone.
-    """
-    facts = nodes.select("node", "n", F.element_at("prefix", -1).alias("last")).dropDuplicates(["node"])
-    shared = store.keep(shared_tokens(nodes), "shared-tokens")
-    of = facts.join(groups, "node", "left").withColumn("g", F.coalesce("label", "node")).drop("label")
-    of = store.keep(of.join(shared.select("node").distinct(), "node", "left_semi"), "members")
-    placed = shared.join(of.select("node", "g"), "node")
-    matrix = placed.select("token", "g").distinct()
-    several = matrix.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
-    matrix = store.keep(matrix.join(several, "token", "left_semi"), "matrix")
-    asking = placed.select("token", F.col("node").alias("q"), F.col("g").alias("own"))
-    bounds = of.groupBy("g").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.min("last").alias("first_end"), F.max("last").alias("last_end"))
-    # the pair is found from the node whose group has the smaller label
-    met = asking.join(matrix, "token").where("own < g").groupBy("q", "g").agg(F.count("*").alias("common"))
-    met = met.join(of.select(F.col("node").alias("q"), "n", "last"), "q").join(bounds, "g")
-    low = F.greatest("small", F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9)))
-    high = F.least("large", F.floor(F.col("n") * DEN / F.lit(float(NUM)) + F.lit(1e-9)))
-    by_query = _overlap(F.col("n"), low) - _left(F.col("n"))
-    by_member = _overlap(F.col("n"), high) - _left(high)
-    need = F.when(F.col("last") <= F.col("first_end"), by_query).when(F.col("last") > F.col("last_end"), by_member).otherwise(F.least(by_query, by_member))
-    opened = met.where((low <= high) & (F.col("common") >= need)).select("q", "g")
-    # members of open groups that share enough of the query's own tokens
-    tokens = opened.join(placed.select(F.col("node").alias("q"), "token"), "q")
-    shared_with = tokens.join(placed.select("token", "g", F.col("node").alias("s")), ["g", "token"]).groupBy("q", "s").agg(F.count("*").alias("common"))
-    pair = shared_with.join(of.select(F.col("node").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q")), "q")
-    pair = pair.join(of.select(F.col("node").alias("s"), F.col("n").alias("n_s"), F.col("last").alias("last_s")), "s")
-    fits = F.least("n_q", "n_s") * DEN >= F.greatest("n_q", "n_s") * NUM
-    ends_first = F.when(F.col("last_q") <= F.col("last_s"), F.col("n_q")).otherwise(F.col("n_s"))
-    enough = F.col("common") >= _overlap(F.col("n_q"), F.col("n_s")) - _left(ends_first)
-    return pair.where(fits & enough).select(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b"))
+@dataclass
+class Matrix:
+    """Shared tokens of the nodes placed in groups: ``placed`` (token, node, short, g), ``members`` (node, n, last, g), ``cells`` (token, g, short, holders, holder)."""
+
+    placed: DataFrame
+    members: DataFrame
+    cells: DataFrame
+
+    @classmethod
+    def of(cls, facts: DataFrame, shared: DataFrame, groups: DataFrame) -> Matrix:
+        members = store.keep(facts.join(groups, "node", "left").withColumn("g", F.coalesce("label", "node")).drop("label"), "members")
+        placed = store.keep(shared.join(members.select("node", "g"), "node"), "placed")
+        cells = placed.groupBy("token", "g").agg(F.max("short").alias("short"), F.count("*").alias("holders"), F.min("node").alias("holder"))
+        several = cells.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
+        return cls(placed, members, store.keep(cells.join(several, "token", "left_semi"), "matrix"))
+
+    def opened(self) -> DataFrame:
+        """(q, g, token): queries and groups that the overlap bound does not rule out, and their shared token that fewest members of g hold.
+
+        Of two groups the nodes of the one with fewer members ask. Some shared token must be among the
+        first of the smaller set, so of the query or of a member.
+        """
+        count = self.members.groupBy("g").agg(
+            F.count("*").alias("size"), F.min("n").alias("small"), F.max("n").alias("large"), F.min("last").alias("first_end"), F.max("last").alias("last_end")
+        )
+        sized = count.select("g", "size")
+        asking = self.placed.join(sized.select("g", F.col("size").alias("own_size")), "g").select("token", F.col("node").alias("q"), F.col("g").alias("own"), F.col("short").alias("early"), "own_size")
+        # tokens by which a pair may be found, apart for queries and members, so that frequent tokens late in both sets meet nobody
+        cells = self.cells.join(sized, "g")
+        smaller = F.struct("own_size", "own") < F.struct("size", "g")
+        found = asking.where("early").join(cells, "token").where(smaller).select("q", "g")
+        found = found.union(asking.where("NOT early").join(cells.where("short"), "token").where(smaller).select("q", "g")).distinct()
+        met = found.join(asking.select("q", "token"), "q").join(self.cells, ["g", "token"]).groupBy("q", "g").agg(F.count("*").alias("common"), F.min_by("token", F.struct("holders", "token")).alias("token"))
+        met = met.join(self.members.select(F.col("node").alias("q"), "n", "last"), "q").join(count, "g")
+        low = F.greatest("small", F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9)))
+        high = F.least("large", F.floor(F.col("n") * DEN / F.lit(float(NUM)) + F.lit(1e-9)))
+        by_query = _overlap(F.col("n"), low) - _left(F.col("n"))
+        by_member = _overlap(F.col("n"), high) - _left(high)
+        need = F.when(F.col("last") <= F.col("first_end"), by_query).when(F.col("last") > F.col("last_end"), by_member).otherwise(F.least(by_query, by_member))
+        return met.where((low <= high) & (F.col("common") >= need)).select("q", "g", "token")
+
+    def first_members(self) -> DataFrame:
+        """(a, b): one member for each opened group, a holder of the rarest shared token."""
+        pair = self.opened().join(self.cells.select("g", "token", F.col("holder").alias("s")), ["g", "token"])
+        return pair.select(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b")).distinct()
+
+    def all_members(self) -> DataFrame:
+        """(a, b): the members of opened groups that share enough of the query's tokens."""
+        tokens = self.opened().select("q", "g").join(self.placed.select(F.col("node").alias("q"), "token"), "q")
+        common = tokens.join(self.placed.select("token", "g", F.col("node").alias("s")), ["g", "token"]).groupBy("q", "s").agg(F.count("*").alias("common"))
+        pair = common.join(self.members.select(F.col("node").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q")), "q")
+        pair = pair.join(self.members.select(F.col("node").alias("s"), F.col("n").alias("n_s"), F.col("last").alias("last_s")), "s")
+        fits = F.least("n_q", "n_s") * DEN >= F.greatest("n_q", "n_s") * NUM
+        ends_first = F.when(F.col("last_q") <= F.col("last_s"), F.col("n_q")).otherwise(F.col("n_s"))
+        enough = F.col("common") >= _overlap(F.col("n_q"), F.col("n_s")) - _left(ends_first)
+        return pair.where(fits & enough).select(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b"))
+
+
+def regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) of the groups after links (a, b) between nodes of different groups."""
+    named = lambda side: links.select("a", "b").join(groups.select(F.col("node").alias(side), F.col("label").alias("g")), side, "left").select(F.coalesce("g", side).alias(f"g{side}"), "a", "b")
+    ends = named("a").join(named("b").select("a", "b", "gb"), ["a", "b"]).select(F.col("ga").alias("a"), F.col("gb").alias("b")).distinct()
+    merged = components(ends)
+    top = merged.select(F.col("node").alias("g"), F.col("label").alias("top"))
+    label = groups.select("node", F.col("label").alias("g")).join(top, "g", "left").select("node", F.coalesce("top", "g").alias("label"))
+    return store.keep(label.unionByName(merged.join(groups, "node", "left_anti").select("node", "label")), "groups")
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """Per document row: row, doc_id, text_key, n_shingles, component_id, and first (it is the one of its component to stay)."""
     table = store.keep(sketch(docs, frequent_tokens(docs)), "sketch")
     nodes = table.where("prefix IS NOT NULL")
-    inside = verified(leader_pairs(nodes), docs)
-    groups = components(inside)
-    across = verified(open_pairs(nodes, groups), docs)
-    # groups and single nodes, linked across
-    named = lambda side: across.select("a", "b").join(groups.select(F.col("node").alias(side), F.col("label").alias("g")), side, "left").select(F.coalesce("g", side).alias(f"g{side}"), "a", "b")
-    ends = named("a").join(named("b").select("a", "b", "gb"), ["a", "b"]).select(F.col("ga").alias("a"), F.col("gb").alias("b")).distinct()
-    merged = components(ends)
-    top = merged.select(F.col("node").alias("g"), F.col("label").alias("top"))
-    label = groups.select("node", F.col("label").alias("g")).join(top, "g", "left").select("node", F.coalesce("top", "g").alias("label"))
-    label = label.unionByName(merged.join(groups, "node", "left_anti").select("node", "label"))
+    groups = components(verified(leader_pairs(nodes), docs))
+    facts = nodes.select("node", "n", F.element_at("prefix", -1).alias("last")).dropDuplicates(["node"])
+    shared = store.keep(shared_tokens(nodes), "shared-tokens")
+    facts = store.keep(facts.join(shared.select("node").distinct(), "node", "left_semi"), "facts")
+    # one member of each opened group first: what links joins the group, and need not meet its other members
+    groups = regrouped(groups, verified(Matrix.of(facts, shared, groups).first_members(), docs))
+    label = regrouped(groups, verified(Matrix.of(facts, shared, groups).all_members(), docs))
     # smallest id, and the row that stays, per set and then per component
     best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("best")
     per_node = table.where("n > 0").groupBy("node").agg(best)
