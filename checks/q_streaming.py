@@ -208,3 +208,30 @@ def _(d):
 
     values = (summed("rows"), summed("failed_fare_amount_positive"), summed("failed_pu_location_valid"))
     return d.spark.createDataFrame([values], "rows bigint, failed_fare bigint, failed_zone bigint")
+
+
+@query("t5_new_checkpoint_finds_new_rows", "SELECT * FROM latest_changes")
+def _(d):
+    """Two folders under one stream name, the second with a checkpoint of its own whose batches begin at 0 again."""
+    table = _change_table(d, "t5n")
+    for n, part in enumerate(("line_no % 2 = 0", "line_no % 2 <> 0 OR line_no IS NULL")):
+        stream = _change_stream(d, _landed(d, d.changes.where(part), f"t5n-landing-{n}"))
+        flows.fold_into(stream, table, "changed_at", f"{table.path}-progress-{n}", "changes")
+    return flows.current_rows(table)
+
+
+@query(
+    "t3_two_runs_keep_their_rows",
+    "SELECT is_quarantined AS rejected, 2 * count(*) AS n FROM flagged_trips GROUP BY 1",
+)
+def _(d):
+    """The same trips split twice into the same folders, with two checkpoints: both runs are kept."""
+    base = d.scratch("t3r")
+    for n in range(2):
+        staged = flows.staging(_trip_stream(d, f"t3r-landing-{n}"), RULES, CHECKED_AT)
+        flows.split_to_files(staged, f"{base}/clean", f"{base}/quarantine", f"{base}/progress-{n}")
+
+    def branch(name: str, rejected: bool):
+        return d.spark.read.parquet(f"{base}/{name}").groupBy(F.lit(rejected).alias("rejected")).agg(F.count("*").alias("n"))
+
+    return branch("clean", False).unionByName(branch("quarantine", True))

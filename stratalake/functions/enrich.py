@@ -1,16 +1,13 @@
 """Filling attribute columns from value lists.
 
 ``pick`` depends on the key alone, so a row gets the same value in every task retry, every
-evaluation of a lazy plan and every run. ``random_pick`` is the row-at-a-time form whose values
-change between evaluations.
+evaluation of a lazy plan and every run. The values of ``random_pick`` change between evaluations.
 """
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,9 +18,7 @@ PHONE_PREFIXES = ("201", "305", "415", "512", "617", "702", "808")
 
 
 def pick(values: Sequence[str], *keys: str, salt: str = "") -> Column:
-    choices = F.array(*[F.lit(v) for v in values])
-    slot = F.pmod(F.xxhash64(F.lit(salt), *keys), F.lit(len(values)))
-    return F.element_at(choices, (slot + 1).cast("int"))
+    return _element(values, F.pmod(F.xxhash64(F.lit(salt), *keys), F.lit(len(values))))
 
 
 def keyed_phone(*keys: str) -> Column:
@@ -31,18 +26,15 @@ def keyed_phone(*keys: str) -> Column:
     return F.concat(pick(PHONE_PREFIXES, *keys, salt="prefix"), F.lpad(digits, 7, "0"))
 
 
-def random_pick(values: Sequence[str]) -> Column:
-    """A no-argument row function; marked non-deterministic so that plans do not duplicate it."""
-    choices = list(values)
-    return F.udf(lambda: random.choice(choices), "string").asNondeterministic()()
+def _element(values: Sequence[str], slot: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (slot + 1).cast("int"))
 
 
-def vectorised_pick(values: Sequence[str], key: str) -> Column:
-    """``pick`` by Arrow batches, for value lists computed in Python."""
-    choices = list(values)
+def random_pick(values: Sequence[str]) -> Column:
+    """Any value, another one in every evaluation."""
+    return _element(values, F.floor(F.rand() * len(values)))
 
-    @F.pandas_udf("string")
-    def choose(keys: pd.Series) -> pd.Series:
-        return keys.map(lambda k: None if pd.isna(k) else choices[int(k) % len(choices)])
 
-    return choose(F.col(key))
+def vectorised_pick(values: Sequence[str], key: str) -> Column:
+    """The value that a whole-number key falls on; NULL for a NULL key."""
+    return F.when(F.col(key).isNotNull(), _element(values, F.pmod(F.col(key), F.lit(len(values)))))

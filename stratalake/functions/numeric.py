@@ -14,6 +14,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _half_away(c: Column, digits: int) -> Column:
+    """Whole units of ``10**-digits``; halves go away from zero."""
+    units = F.floor(F.abs(c) * float(10**digits) + 0.5)
+    return F.when(c < 0, -units).otherwise(units)
+
+
 class Plain:
     def total(self, c: Column) -> Column:
         return F.sum(c)
@@ -30,7 +36,7 @@ class Fixed:
     digits: int = 2
 
     def _units(self, c: Column) -> Column:
-        return F.floor(c * float(10**self.digits) + 0.5)
+        return _half_away(c, self.digits)
 
     def total(self, c: Column) -> Column:
         return F.sum(self._units(c)) / float(10**self.digits)
@@ -39,8 +45,7 @@ class Fixed:
         return F.try_divide(self.total(c), F.count(c))
 
     def round(self, c: Column, digits: int) -> Column:
-        scale = float(10**digits)
-        return F.floor(c * scale + 0.5) / scale
+        return _half_away(c, digits) / float(10**digits)
 
 
 PLAIN = Plain()

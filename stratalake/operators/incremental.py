@@ -82,7 +82,4 @@ def split_deletes(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 def inject_change(source: DataFrame, condition, changes: dict, as_of, time_column: str = INGESTED) -> DataFrame:
     """A changed copy of the oldest row that meets ``condition``, to be appended to the source."""
     oldest = source.where(condition).orderBy(F.col(time_column).asc(), *source.columns).limit(1)
-    new_values = {c: F.lit(v) for c, v in {**changes, time_column: as_of}.items()}
-    return oldest.withColumns(
-        {c: F.when(condition, v.cast(source.schema[c].dataType)).otherwise(F.col(c)) for c, v in new_values.items()}
-    )
+    return oldest.withColumns({c: F.lit(v).cast(source.schema[c].dataType) for c, v in {**changes, time_column: as_of}.items()})

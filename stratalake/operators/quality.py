@@ -126,32 +126,29 @@ CHECKS = {
 }
 
 
-def check_report(events: DataFrame) -> DataFrame:
-    """Rows ``(check_name, severity, value, passed)`` for an event table.
+def check_report(events: DataFrame, moment: datetime | None = None) -> DataFrame:
+    """Rows ``(check_name, severity, value, passed)`` for an event table, or for one hour of it.
 
-    Row counts are summed up per session first: one scan, one shuffle of pre-aggregated rows.
+    The hard checks on rows are one global aggregate. Invalid types and repeated sessions are branches
+    of their own, each over its one column, so that a filter on a check runs no other branch.
     """
-    per_session = events.groupBy("user_session").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("event_time").isNull()).alias("no_time"),
-        F.count_if(F.col("price").isNull() | (F.col("price") <= 0)).alias("bad_price"),
-    )
-    totals = per_session.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum("no_time"), F.lit(0)).alias("null_event_times"),
-        F.coalesce(F.sum("bad_price"), F.lit(0)).alias("bad_prices"),
-        F.count_if(F.col("n") > 1).alias("duplicate_sessions"),
-    )
-    kinds = invalid_values(events, "event_type", EVENT_TYPES).agg(F.count("*").alias("invalid_event_types"))
-    names = ["row_count", "null_event_times", "bad_prices", "duplicate_sessions"]
-    measured = totals.select(
-        F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("value")) for n in names]))
-    ).unionByName(kinds.select(F.lit("invalid_event_types").alias("check_name"), F.col("invalid_event_types").alias("value")))
-    severity = F.element_at(
-        F.create_map(*[F.lit(x) for pair in CHECKS.items() for x in pair]), F.col("check_name")
+    part = events if moment is None else in_hour(events, moment)
+    rows = part.agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("event_time").isNull()).alias("null_event_times"),
+        F.count_if(F.col("price").isNull() | (F.col("price") <= 0)).alias("bad_prices"),
     )
+    kinds = invalid_values(part, "event_type", EVENT_TYPES).agg(F.count("*").alias("invalid_event_types"))
+    sessions = repeated_values(part, "user_session").agg(F.count("*").alias("duplicate_sessions"))
+
+    def measured(values: DataFrame) -> DataFrame:
+        named = [F.struct(F.lit(c).alias("check_name"), F.col(c).alias("value")) for c in values.columns]
+        return values.select(F.inline(F.array(*named)))
+
+    report = measured(rows).unionByName(measured(kinds)).unionByName(measured(sessions))
+    severity = F.element_at(F.create_map(*[F.lit(x) for pair in CHECKS.items() for x in pair]), F.col("check_name"))
     passed = F.when(F.col("check_name") == "row_count", F.col("value") > 0).otherwise(F.col("value") == 0)
-    return measured.select("check_name", severity.alias("severity"), "value", passed.alias("passed"))
+    return report.select("check_name", severity.alias("severity"), "value", passed.alias("passed"))
 
 
 def enforce(report: DataFrame) -> dict[str, int]:

@@ -56,20 +56,12 @@ def new_rows(current: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
 def changes_sql(
     current: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Sequence[str], null_safe: bool = True
 ) -> DataFrame:
-    """Changed and new rows by one SQL statement of common table expressions."""
+    """Changed and new rows by one SQL statement: a single left join whose partner is missing or differs."""
     on = " AND ".join(f"s.`{k}` = t.`{k}`" for k in keys)
-    compare = "NOT (s.`{0}` <=> t.`{0}`)" if null_safe else "s.`{0}` <> t.`{0}`"
-    differs_text = " OR ".join(compare.format(c) for c in tracked)
+    same = "s.`{0}` <=> t.`{0}`" if null_safe else "coalesce(s.`{0}` = t.`{0}`, true)"
+    kept = " AND ".join([f"t.`{keys[0]}` IS NOT NULL", *(same.format(c) for c in tracked)])
     return source.sparkSession.sql(
-        f"""
-        WITH incoming AS (SELECT * FROM {{source}}),
-        live AS (SELECT * FROM {{current}}),
-        changed AS (SELECT s.* FROM incoming s JOIN live t ON {on} WHERE {differs_text}),
-        added AS (SELECT s.* FROM incoming s LEFT JOIN live t ON {on} WHERE t.`{keys[0]}` IS NULL)
-        SELECT * FROM changed UNION ALL SELECT * FROM added
-        """,
-        source=source,
-        current=current,
+        f"SELECT s.* FROM {{source}} AS s LEFT JOIN {{current}} AS t ON {on} WHERE NOT ({kept})", source=source, current=current
     )
 
 
@@ -106,37 +98,47 @@ def apply_scd2(
 ) -> DataFrame:
     """The new history. Applied to current rows only, it returns them plus what closes and opens."""
     usable = source.dropna(subset=list(keys))
-    current = history.where(F.col("is_current"))
     settled = history.where(~F.col("is_current"))
-    unchanged = (
-        current.select(*keys, *tracked)
-        .alias("t")
-        .join(usable.select(*keys, *tracked).alias("s"), same_keys("s", "t", keys))
-        .where(~differs("s", "t", tracked, null_safe))
-        .select(*[F.col(f"t.{k}").alias(k) for k in keys])
-    )
-    opened = open_versions(usable.join(unchanged, list(keys), "left_anti").select(*usable.columns), as_of)
-    return (
-        settled.unionByName(close_versions(current, usable, keys, tracked, as_of, null_safe))
-        .unionByName(opened, allowMissingColumns=True)
-    )
-
-
-def intervals(log: DataFrame, keys: Sequence[str], starts: str, grain: str = "month") -> DataFrame:
+    stored = history.where(F.col("is_current")).select(*keys, F.struct(*history.columns).alias("t"))
+    arrived = usable.select(*keys, F.struct(*usable.columns).alias("s"))
+    # every current row and every source row once: a row that stays or ends, and a row that begins
+    met = stored.join(arrived, list(keys), "full_outer")
+    is_new = F.col("t").isNull()
+    ends = F.col("s").isNotNull() & ~is_new & differs("s", "t", tracked, null_safe)
+    columns = [*history.columns, *(c for c in usable.columns if c not in history.columns)]
+    types = {**dict(usable.dtypes), **dict(history.dtypes)}
+
+    def row(side: str, known: Sequence[str], validity: dict[str, Column]) -> Column:
+        value = lambda c: validity.get(c, F.col(f"{side}.{c}") if c in known else F.lit(None))
+        return F.struct(*[value(c).cast(types[c]).alias(c) for c in columns])
+
+    kept = row("t", history.columns, {
+        "effective_to": F.when(ends, _moment(as_of)).otherwise(F.col("t.effective_to")),
+        "is_current": F.col("t.is_current") & ~ends,
+    })
+    begun = row("s", usable.columns, {
+        "effective_from": _moment(as_of), "effective_to": F.lit(None), "is_current": F.lit(True),
+    })
+    rows = F.array_compact(F.array(F.when(~is_new, kept), F.when(is_new | ends, begun)))
+    return settled.unionByName(met.select(F.inline(rows)), allowMissingColumns=True)
+
+
+def intervals(log: DataFrame, keys: Sequence[str], starts: str, grain: str = "day") -> DataFrame:
     """Validity of every version of a complete log: each ends where the next of its key starts.
 
     Rows are ordered within (key, period of ``grain``) and periods within a key, so the versions of
     one large key are spread over its periods instead of being sorted in a single task. Starts
-    must be distinct per key.
+    must be distinct per key. NULL keys are one key.
     """
     period = "_period"
     placed = log.withColumn(period, F.date_trunc(grain, starts))
     in_period = Window.partitionBy(*keys, period).orderBy(starts)
     firsts = placed.groupBy(*keys, period).agg(F.min(starts).alias("_first"))
     following = F.lead("_first").over(Window.partitionBy(*keys).orderBy(period))
-    next_first = firsts.select(*keys, period, following.alias("_next_first"))
+    renamed = [F.col(c).alias(f"_of_{c}") for c in (*keys, period)]
+    next_first = firsts.select(*renamed, following.alias("_next_first"))
     ordered = placed.withColumn("_next", F.lead(starts).over(in_period))
-    joined = ordered.join(next_first, [*keys, period], "left")
+    joined = ordered.join(next_first, all_of(F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*keys, period)), "left")
     ends = F.coalesce(F.col("_next"), F.col("_next_first"))
     return joined.select(
         *log.columns, F.col(starts).alias("effective_from"), ends.alias("effective_to"), ends.isNull().alias("is_current")

@@ -6,8 +6,10 @@ A table is a folder with
 * ``history/snap_version=<v>/`` - one row that describes the version.
 
 The history row is written last by a single-file Spark write. It is the commit point: without it the
-data of a broken attempt is never read, and the next attempt overwrites it. A row's bucket is a hash
-of its keys. A merge reads and rewrites only the buckets its source touches. Rows with an
+data of a broken attempt is never read, and the next attempt overwrites it, also a broken history
+write. A row's bucket is a hash of its keys. Keys, bucket count and append-only condition are stored
+with the table: another key or bucket count is an error, a table opened without keys takes the stored
+ones. A merge reads and rewrites only the buckets its source touches. Rows with an
 ``append_only`` mark (closed history, log tables) live in bucket -1, which is only added to.
 One writer per table at a time; readers are not blocked. Several folders of one bucket are the
 result of appends.
@@ -42,6 +44,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from stratalake.tuning import cached
+
 VERSION, BUCKET = "snap_version", "snap_bucket"
 INGESTED = "_ingestion_timestamp"
 APPEND_BUCKET = -1
@@ -63,6 +67,9 @@ HISTORY = StructType(
         StructField("folders", ArrayType(FOLDER)),
         StructField("schema_json", StringType()),
         StructField("streams", MapType(StringType(), LongType())),
+        StructField("keys", ArrayType(StringType())),
+        StructField("buckets", IntegerType()),
+        StructField("append_only", StringType()),
     ]
 )
 
@@ -75,6 +82,13 @@ class State:
     schema: StructType
     folders: list[Row]
     streams: dict[str, int]
+    keys: tuple[str, ...]
+    buckets: int
+    append_only: str | None
+
+
+class LayoutError(ValueError):
+    """A table is opened with other keys, buckets or append-only rows than it was created with."""
 
 
 class VersionNotFoundError(LookupError):
@@ -156,7 +170,28 @@ class SnapshotTable:
         elif version not in known:
             raise VersionNotFoundError(f"{self.path} has no version {version}")
         row = self.spark.read.schema(HISTORY).parquet(f"{self.path}/history/{VERSION}={version}").first()
-        return State(version, StructType.fromJson(json.loads(row["schema_json"])), row["folders"], row["streams"])
+        return State(
+            version,
+            StructType.fromJson(json.loads(row["schema_json"])),
+            row["folders"],
+            row["streams"],
+            tuple(row["keys"] or ()),
+            row["buckets"],
+            row["append_only"],
+        )
+
+    def _agreed(self, state: State | None) -> SnapshotTable:
+        """This table with the stored layout; a contradiction raises."""
+        if state is None:
+            return self
+        if self.keys and self.keys != state.keys:
+            raise LayoutError(f"{self.path} has the keys {list(state.keys)}, not {list(self.keys)}")
+        if self.keys and self.buckets != state.buckets:
+            raise LayoutError(f"{self.path} has {state.buckets} buckets, not {self.buckets}")
+        mark = None if self.append_only is None else str(self.append_only)
+        if (self.keys or state.append_only) and mark != state.append_only:
+            raise LayoutError(f"{self.path} has the append-only condition {state.append_only}, not {mark}")
+        return SnapshotTable(self.spark, self.path, state.keys, state.buckets, self.append_only)
 
     # -- reading ------------------------------------------------------------------------------
 
@@ -241,11 +276,14 @@ class SnapshotTable:
             folders=sorted(kept + added, key=lambda f: (f["bucket"], f["version"])),
             schema_json=schema.json(),
             streams={**(before.streams if before else {}), **(streams or {})},
+            keys=list(self.keys),
+            buckets=self.buckets,
+            append_only=None if self.append_only is None else str(self.append_only),
         )
         (
             self.spark.createDataFrame([entry], HISTORY)
             .coalesce(1)
-            .write.mode("errorifexists")
+            .write.mode("errorifexists" if version in self.versions() else "overwrite")  # over a broken attempt
             .parquet(f"{self.path}/history/{VERSION}={version}")
         )
         return version
@@ -263,13 +301,25 @@ class SnapshotTable:
         """Create the table or replace all its rows (also the refresh of a materialized result)."""
         before = self._state()
         replaced = {f["bucket"] for f in before.folders} if before else set()
-        return self._commit(rows, operation, before, replaced, rows.schema, as_of, metrics)
+        return self._agreed(before)._commit(rows, operation, before, replaced, rows.schema, as_of, metrics)
 
     def append(self, rows: DataFrame, as_of=None, metrics=None) -> int:
         """Add rows; a column new to the table is NULL in older rows and the other way round."""
         before = self._state()
         schema = widen(before.schema, rows.schema) if before else rows.schema
-        return self._commit(rows, "append" if before else "create", before, set(), schema, as_of, metrics)
+        return self._agreed(before)._commit(rows, "append" if before else "create", before, set(), schema, as_of, metrics)
+
+    def touched_by(self, source: DataFrame) -> DataFrame:
+        """The rows of the buckets that hold the keys of ``source``."""
+        before = self._state()
+        agreed = self._agreed(before)
+        return self._load(before, agreed._buckets_of(agreed._typed(source, before)))
+
+    def _typed(self, source: DataFrame, state: State) -> DataFrame:
+        return source.withColumns({k: F.col(k).cast(state.schema[k].dataType) for k in self.keys})
+
+    def _buckets_of(self, source: DataFrame) -> set[int]:
+        return {r[0] for r in source.select(self._hash()).distinct().collect()}
 
     def merge(
         self,
@@ -282,18 +332,18 @@ class SnapshotTable:
     ) -> int:
         """``combine(rows of the touched buckets, source)`` replaces those buckets.
 
-        ``source`` is read several times: persist it when it is expensive. Rows of the append-only
-        bucket are not passed in; rows that ``combine`` marks append-only are added to it.
+        ``source`` is kept while it is read several times. Rows of the append-only bucket are not passed in; rows that ``combine`` marks append-only are added to it.
         ``streams`` records the last batch of a stream with the version.
         """
         before = self._state()
         if before is None:
             raise VersionNotFoundError(f"{self.path} has no version")
-        source = source.withColumns({k: F.col(k).cast(before.schema[k].dataType) for k in self.keys})
-        touched = {r[0] for r in source.select(self._hash()).distinct().collect()}
-        result = combine(self._load(before, touched), source)
-        schema = widen(before.schema, result.schema)
-        return self._commit(result, operation, before, touched, schema, as_of, metrics, streams)
+        agreed = self._agreed(before)
+        with cached(agreed._typed(source, before)) as source:
+            touched = agreed._buckets_of(source)
+            result = combine(self._load(before, touched), source)
+            schema = widen(before.schema, result.schema)
+            return agreed._commit(result, operation, before, touched, schema, as_of, metrics, streams)
 
 
 def _may_exceed(newest: datetime | None, moment: datetime) -> bool:

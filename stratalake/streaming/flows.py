@@ -1,16 +1,19 @@
 """Trip flow: landing files to Bronze, rule flag, quarantine and clean branches, change folding.
 
 Each flow reads what is available and stops; it can equally run continuously with another trigger.
-Progress is in the checkpoint. Folding is idempotent and the table also remembers the last batch of
-each stream, so a replayed batch changes nothing.
+Progress is in the checkpoint, together with a name of the run: a new checkpoint is a new run, whose
+batch numbers begin at 0 again. Folding is idempotent: a batch that brings nothing newer, as a replay
+does, commits nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,8 +47,10 @@ def split_to_files(
 ) -> StreamingQuery:
     """Both branches from one read of the stream.
 
-    Every batch has its own folder, which a replay overwrites, so rows are stored exactly once.
+    Every batch of a run has its own folder, which a replay overwrites, so rows are stored exactly
+    once and no run touches the folders of another.
     """
+    run = run_name(staged.sparkSession, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -54,7 +59,7 @@ def split_to_files(
                 (quarantine_path, batch.where(f"{flag} = true")),
                 (clean_path, batch.where(f"{flag} = false").drop(flag, "_dq_checked_at")),
             ):
-                rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+                rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -77,15 +82,14 @@ def fold_into(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         target = table.using(batch.sparkSession)
-        done = target.last_batch(stream_id)
-        if done is not None and batch_id <= done:
-            return
         folded = fold_cells(to_cells(batch, keys, sequence_by, ignore_nulls), keys).persist()
         try:
             if folded.isEmpty():
                 return
             if not target.exists():
                 target.overwrite(folded.limit(0), operation="create")
+            elif not _news(target.touched_by(folded), folded, keys):
+                return
             target.merge(
                 folded,
                 lambda state, cells: merge_cells(state, cells, keys),
@@ -98,6 +102,30 @@ def fold_into(
     return _run(changes, apply, checkpoint)
 
 
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to, kept in its folder and lost with it."""
+    path = f"{checkpoint.rstrip('/')}/run"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.text(path)
+    return spark.read.text(path).first()["value"]
+
+
+def _news(state: DataFrame, folded: DataFrame, keys: list[str]) -> bool:
+    """Whether a folded batch changes a key of the stored state."""
+    hits = merge_cells(state.join(folded.select(*keys), keys, "left_semi"), folded, keys)
+    return not hits.select(*sorted(hits.columns)).exceptAll(_like(state, hits)).isEmpty()
+
+
+def _like(state: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``state`` with the columns of ``wanted`` in sorted order; those it lacks are NULL."""
+    empty = wanted.limit(0)
+    return empty.unionByName(state, allowMissingColumns=True).select(*sorted(wanted.columns))
+
+
 def current_rows(table: SnapshotTable, ignore_nulls: bool = False, version: int | None = None) -> DataFrame:
     """The folded table as plain rows."""
     return from_cells(table.read(version), list(table.keys), ignore_nulls)
