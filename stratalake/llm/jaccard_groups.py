@@ -285,14 +285,16 @@ class Matrix:
         count = self.members.groupBy("g").agg(
             F.count("*").alias("size"), F.min("n").alias("small"), F.max("n").alias("large"), F.min("last").alias("first_end"), F.max("last").alias("last_end")
         )
-        sized = count.select("g", "size")
-        asking = self.placed.join(sized.select("g", F.col("size").alias("own_size")), "g").select("token", F.col("node").alias("q"), F.col("g").alias("own"), F.col("short").alias("early"), "own_size")
-        # tokens by which a pair may be found, apart for queries and members, so that frequent tokens late in both sets meet nobody
-        cells = self.cells.join(sized, "g")
-        smaller = F.struct("own_size", "own") < F.struct("size", "g")
-        found = asking.where("early").join(cells, "token").where(smaller).select("q", "g")
-        found = found.union(asking.where("NOT early").join(cells.where("short"), "token").where(smaller).select("q", "g")).distinct()
-        met = found.join(asking.select("q", "token"), "q").join(self.cells, ["g", "token"]).groupBy("q", "g").agg(F.count("*").alias("common"), F.min_by("token", F.struct("holders", "token")).alias("token"))
+        asking = self.placed.join(count.select("g", F.col("size").alias("own_size")), "g").join(self.members.select("node", "n"), "node")
+        asking = asking.select("token", F.col("node").alias("q"), F.col("g").alias("own"), F.col("short").alias("early"), "own_size", "n")
+        cells = self.cells.join(count.select("g", "size", "small", "large"), "g")
+        # by size, some member can link; and the token is among the first of whichever set is the smaller
+        fits = (F.col("small") * NUM <= F.col("n") * DEN) & (F.col("large") * DEN >= F.col("n") * NUM) & (F.struct("own_size", "own") < F.struct("size", "g"))
+        member_smaller = F.col("short") & (F.col("small") <= F.col("n"))
+        found = asking.where("early").join(cells, "token").where(fits & ((F.col("large") >= F.col("n")) | member_smaller)).select("q", "g")
+        found = found.union(asking.where("NOT early").join(cells.where("short"), "token").where(fits & member_smaller).select("q", "g")).distinct()
+        met = found.join(self.placed.select(F.col("node").alias("q"), "token"), "q").join(self.cells, ["g", "token"])
+        met = met.groupBy("q", "g").agg(F.count("*").alias("common"), F.min(F.struct("holders", "token")).alias("rarest")).select("q", "g", "common", "rarest.token")
         met = met.join(self.members.select(F.col("node").alias("q"), "n", "last"), "q").join(count, "g")
         low = F.greatest("small", F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9)))
         high = F.least("large", F.floor(F.col("n") * DEN / F.lit(float(NUM)) + F.lit(1e-9)))
