@@ -21,6 +21,13 @@ def _half_away(c: Column, digits: int) -> Column:
 
 
 class Plain:
+    def part(self, c: Column) -> Column:
+        """Total of a group that is to be summed up further by ``whole``."""
+        return F.sum(c)
+
+    def whole(self, part: Column) -> Column:
+        return F.sum(part)
+
     def total(self, c: Column) -> Column:
         return F.sum(c)
 
@@ -38,8 +45,14 @@ class Fixed:
     def _units(self, c: Column) -> Column:
         return _half_away(c, self.digits)
 
+    def part(self, c: Column) -> Column:
+        return F.sum(self._units(c))
+
+    def whole(self, part: Column) -> Column:
+        return F.sum(part) / float(10**self.digits)
+
     def total(self, c: Column) -> Column:
-        return F.sum(self._units(c)) / float(10**self.digits)
+        return self.whole(self._units(c))
 
     def mean(self, c: Column) -> Column:
         return F.try_divide(self.total(c), F.count(c))

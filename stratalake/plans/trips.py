@@ -79,26 +79,48 @@ def trip_reports(trips: DataFrame, zones: DataFrame, math=PLAIN, tuned: bool = T
     }
 
 
+def _parts(math, *columns: str) -> list[Column]:
+    """Totals and counts of columns per group of ids, to be summed up after the join with names."""
+    return [x for c in columns for x in (math.part(F.col(c)).alias(f"{c}_part"), F.count(c).alias(f"{c}_count"))]
+
+
+def _whole(math, column: str) -> Column:
+    return math.whole(F.col(f"{column}_part"))
+
+
+def _mean(math, column: str) -> Column:
+    return F.try_divide(_whole(math, column), F.sum(f"{column}_count"))
+
+
 def revenue_by_borough(trips: DataFrame, zones: DataFrame, math=PLAIN) -> DataFrame:
-    """Ten measures per pickup borough and service zone; trips without a known borough are left out."""
-    fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
-    card = F.sum(F.when(F.col("payment_type") == 1, 1).otherwise(0))
+    """Ten measures per pickup borough and service zone; trips without a known borough are left out.
+
+    Trips are summed up by zone id first, so only one row per zone meets the names.
+    """
     dim = broadcast_if_small(zones.select("location_id", "borough", "service_zone"))
+    per_zone = trips.groupBy("PULocationID").agg(
+        _trips("trips"),
+        F.count_if(F.col("payment_type") == 1).alias("card"),
+        F.sum("passenger_count").alias("passengers"),
+        F.count("passenger_count").alias("counted"),
+        *_parts(math, "fare_amount", "tip_amount", "total_amount", "trip_distance"),
+    )
+    tip, fare = _whole(math, "tip_amount"), _whole(math, "fare_amount")
     return (
-        left_lookup(trips, dim, "PULocationID", "location_id")
+        left_lookup(per_zone, dim, "PULocationID", "location_id")
         .where(F.col("borough").isNotNull())
         .groupBy(F.col("borough").alias("pickup_borough"), "service_zone")
         .agg(
-            _trips("total_trips"),
-            math.round(math.total(fare), 2).alias("total_fare_revenue"),
-            math.round(math.mean(fare), 2).alias("avg_fare"),
-            math.round(math.total(tip), 2).alias("total_tips"),
-            math.round(math.mean(tip), 2).alias("avg_tip"),
-            math.round(safe_ratio(math.total(tip), math.total(fare)) * 100, 2).alias("tip_rate_pct"),
-            math.round(math.total(total), 2).alias("total_revenue"),
-            math.round(math.mean(F.col("trip_distance")), 2).alias("avg_trip_distance_miles"),
-            math.round(F.avg("passenger_count"), 1).alias("avg_passenger_count"),
-            math.round(safe_ratio(card, F.count("*")) * 100, 1).alias("credit_card_pct"),
+            F.sum("trips").alias("total_trips"),
+            math.round(fare, 2).alias("total_fare_revenue"),
+            math.round(_mean(math, "fare_amount"), 2).alias("avg_fare"),
+            math.round(tip, 2).alias("total_tips"),
+            math.round(_mean(math, "tip_amount"), 2).alias("avg_tip"),
+            math.round(safe_ratio(tip, fare) * 100, 2).alias("tip_rate_pct"),
+            math.round(_whole(math, "total_amount"), 2).alias("total_revenue"),
+            math.round(_mean(math, "trip_distance"), 2).alias("avg_trip_distance_miles"),
+            math.round(safe_ratio(F.sum("passengers"), F.sum("counted")), 1).alias("avg_passenger_count"),
+            math.round(safe_ratio(F.sum("card"), F.sum("trips")) * 100, 1).alias("credit_card_pct"),
         )
         .orderBy(F.desc("total_revenue"))
     )
@@ -129,35 +151,41 @@ def trip_time_patterns(trips: DataFrame, math=PLAIN) -> DataFrame:
 
 
 def trip_summary(trips: DataFrame, zones: DataFrame, min_trips: int = 5, math=PLAIN) -> DataFrame:
-    """Eleven measures per route, month, hour, weekday, airport flag and payment label."""
+    """Eleven measures per route, month, hour, weekday, airport flag and payment label.
+
+    Trips are summed up by zone ids first; several ids may share a name, so the names group once more.
+    """
     dim = broadcast_if_small(zones)
-    fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
-    routed = left_lookup(trips, zones_as("pickup", dim), "PULocationID", "pickup_location_id").where(
+    times = {
+        "pickup_month": F.month(PICKUP),
+        "pickup_hour": F.hour(PICKUP),
+        "pickup_dayname": F.date_format(PICKUP, "EEEE"),
+        "is_airport_trip": F.col("RatecodeID").isin(*AIRPORT_RATE_CODES),
+        "payment_type_label": payment_label(F.col("payment_type")),
+    }
+    timed = trips.withColumn("minutes", minutes_between(PICKUP, DROPOFF, math))
+    per_ids = timed.groupBy("PULocationID", "DOLocationID", *[c.alias(n) for n, c in times.items()]).agg(
+        _trips("trips"), *_parts(math, "fare_amount", "tip_amount", "total_amount", "trip_distance", "minutes", "congestion_surcharge")
+    )
+    routed = left_lookup(per_ids, zones_as("pickup", dim), "PULocationID", "pickup_location_id").where(
         F.col("pickup_borough").isNotNull()
     )
     routed = left_lookup(routed, zones_as("dropoff", dim), "DOLocationID", "dropoff_location_id")
+    fare, distance = _whole(math, "fare_amount"), _whole(math, "trip_distance")
     return (
-        routed.withColumn("trip_duration_minutes", minutes_between(PICKUP, DROPOFF, math))
-        .groupBy(
-            "pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone",
-            F.month(PICKUP).alias("pickup_month"),
-            F.hour(PICKUP).alias("pickup_hour"),
-            F.date_format(PICKUP, "EEEE").alias("pickup_dayname"),
-            F.col("RatecodeID").isin(*AIRPORT_RATE_CODES).alias("is_airport_trip"),
-            payment_label(F.col("payment_type")).alias("payment_type_label"),
-        )
+        routed.groupBy("pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone", *times)
         .agg(
-            _trips("total_trips"),
-            math.round(math.total(fare), 2).alias("total_fare"),
-            math.round(math.mean(fare), 2).alias("avg_fare"),
-            math.round(math.total(tip), 2).alias("total_tips"),
-            math.round(math.mean(tip), 2).alias("avg_tip"),
-            math.round(math.total(total), 2).alias("total_revenue"),
-            math.round(math.mean(total), 2).alias("avg_total_amount"),
-            math.round(math.mean(F.col("trip_distance")), 2).alias("avg_distance_miles"),
-            math.round(math.mean(F.col("trip_duration_minutes")), 1).alias("avg_duration_minutes"),
-            math.round(math.total(F.col("congestion_surcharge")), 2).alias("total_congestion_surcharge"),
-            math.round(safe_ratio(math.total(fare), math.total(F.col("trip_distance"))), 2).alias("revenue_per_mile"),
+            F.sum("trips").alias("total_trips"),
+            math.round(fare, 2).alias("total_fare"),
+            math.round(_mean(math, "fare_amount"), 2).alias("avg_fare"),
+            math.round(_whole(math, "tip_amount"), 2).alias("total_tips"),
+            math.round(_mean(math, "tip_amount"), 2).alias("avg_tip"),
+            math.round(_whole(math, "total_amount"), 2).alias("total_revenue"),
+            math.round(_mean(math, "total_amount"), 2).alias("avg_total_amount"),
+            math.round(_mean(math, "trip_distance"), 2).alias("avg_distance_miles"),
+            math.round(_mean(math, "minutes"), 1).alias("avg_duration_minutes"),
+            math.round(_whole(math, "congestion_surcharge"), 2).alias("total_congestion_surcharge"),
+            math.round(safe_ratio(fare, distance), 2).alias("revenue_per_mile"),
         )
         .where(F.col("total_trips") >= min_trips)
     )
