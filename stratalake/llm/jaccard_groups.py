@@ -12,8 +12,7 @@
 4. A query node meets the groups that hold some of its tokens; the number of its tokens in a group's union bounds
    its overlap with every member. Groups whose bound does not reach what the sizes demand stay closed.
 5. Only the members of open groups are compared, on whole sets, and only across groups: inside a group
-   the nodes are connected already. A query first meets one member of each open group; groups that link
-   are joined and the matrix is made anew, so that the rest meets only groups it has no link to yet.
+   the nodes are connected already. The nodes of the smaller of two groups ask.
 
 Every pair that links lies in one group or across two of which one is opened to a node of the other, so
 no connection between different texts is lost. Tokens and sets are 64-bit hashes. Nothing but counts and
@@ -43,7 +42,7 @@ SHINGLE = 5
 #: Similarity as a ratio of whole numbers.
 NUM, DEN = 3, 4
 #: One document of so many is looked at for frequent tokens (of small tables every one), and in how many of them a token must be.
-ONE_OF, FREQUENT = 20, 3
+ONE_OF, FREQUENT = 20, 2
 SMALL = 5_000
 #: Frequent tokens that are put last (8 bytes each, sent to every task), the most frequent first.
 LAST = 1_000_000
@@ -211,9 +210,13 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def leader_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b): every node of a band of more than one with the band's leader, a node chosen by hash."""
-    banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    led = banded.groupBy("band", "key").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node", "n")).alias("leader"), F.min("node").alias("low"), F.max("node").alias("high"))
+    """(a, b): every node of a band of more than one with the band's leader.
+
+    The leader is the most typical node: its rarest token is the least rare. Near copies of one text are
+    nearer to that text than to each other.
+    """
+    banded = nodes.select("node", "n", F.element_at("prefix", 1).alias("rarest"), F.posexplode("bands").alias("band", "key"))
+    led = banded.groupBy("band", "key").agg(F.max(F.struct("rarest", "node", "n")).alias("leader"), F.min("node").alias("low"), F.max("node").alias("high"))
     met = banded.join(led.where("low < high").select("band", "key", F.col("leader.node").alias("leader"), F.col("leader.n").alias("size")), ["band", "key"])
     near = F.least("n", "size") * DEN >= F.greatest("n", "size") * NUM
     return met.where((F.col("node") != F.col("leader")) & near).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
@@ -262,7 +265,7 @@ def _left(n: Column) -> Column:
 
 @dataclass
 class Matrix:
-    """Shared tokens of the nodes placed in groups: ``placed`` (token, node, short, g), ``members`` (node, n, last, g), ``cells`` (token, g, short, holders, holder)."""
+    """Shared tokens of the nodes placed in groups: ``placed`` (token, node, short, g), ``members`` (node, n, last, g), ``cells`` (token, g, short)."""
 
     placed: DataFrame
     members: DataFrame
@@ -272,12 +275,12 @@ class Matrix:
     def of(cls, facts: DataFrame, shared: DataFrame, groups: DataFrame) -> Matrix:
         members = store.keep(facts.join(groups, "node", "left").withColumn("g", F.coalesce("label", "node")).drop("label"), "members")
         placed = store.keep(shared.join(members.select("node", "g"), "node"), "placed")
-        cells = placed.groupBy("token", "g").agg(F.max("short").alias("short"), F.count("*").alias("holders"), F.min("node").alias("holder"))
+        cells = placed.groupBy("token", "g").agg(F.max("short").alias("short"))
         several = cells.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
         return cls(placed, members, store.keep(cells.join(several, "token", "left_semi"), "matrix"))
 
     def opened(self) -> DataFrame:
-        """(q, g, token): queries and groups that the overlap bound does not rule out, and their shared token that fewest members of g hold.
+        """(q, g): queries and groups that the overlap bound does not rule out.
 
         Of two groups the nodes of the one with fewer members ask. Some shared token must be among the
         first of the smaller set, so of the query or of a member.
@@ -294,23 +297,18 @@ class Matrix:
         found = asking.where("early").join(cells, "token").where(fits & ((F.col("large") >= F.col("n")) | member_smaller)).select("q", "g")
         found = found.union(asking.where("NOT early").join(cells.where("short"), "token").where(fits & member_smaller).select("q", "g")).distinct()
         met = found.join(self.placed.select(F.col("node").alias("q"), "token"), "q").join(self.cells, ["g", "token"])
-        met = met.groupBy("q", "g").agg(F.count("*").alias("common"), F.min(F.struct("holders", "token")).alias("rarest")).select("q", "g", "common", "rarest.token")
+        met = met.groupBy("q", "g").agg(F.count("*").alias("common"))
         met = met.join(self.members.select(F.col("node").alias("q"), "n", "last"), "q").join(count, "g")
         low = F.greatest("small", F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9)))
         high = F.least("large", F.floor(F.col("n") * DEN / F.lit(float(NUM)) + F.lit(1e-9)))
         by_query = _overlap(F.col("n"), low) - _left(F.col("n"))
         by_member = _overlap(F.col("n"), high) - _left(high)
         need = F.when(F.col("last") <= F.col("first_end"), by_query).when(F.col("last") > F.col("last_end"), by_member).otherwise(F.least(by_query, by_member))
-        return met.where((low <= high) & (F.col("common") >= need)).select("q", "g", "token")
-
-    def first_members(self) -> DataFrame:
-        """(a, b): one member for each opened group, a holder of the rarest shared token."""
-        pair = self.opened().join(self.cells.select("g", "token", F.col("holder").alias("s")), ["g", "token"])
-        return pair.select(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b")).distinct()
+        return met.where((low <= high) & (F.col("common") >= need)).select("q", "g")
 
     def all_members(self) -> DataFrame:
         """(a, b): the members of opened groups that share enough of the query's tokens."""
-        tokens = self.opened().select("q", "g").join(self.placed.select(F.col("node").alias("q"), "token"), "q")
+        tokens = self.opened().join(self.placed.select(F.col("node").alias("q"), "token"), "q")
         common = tokens.join(self.placed.select("token", "g", F.col("node").alias("s")), ["g", "token"]).groupBy("q", "s").agg(F.count("*").alias("common"))
         pair = common.join(self.members.select(F.col("node").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q")), "q")
         pair = pair.join(self.members.select(F.col("node").alias("s"), F.col("n").alias("n_s"), F.col("last").alias("last_s")), "s")
@@ -338,8 +336,6 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     facts = nodes.select("node", "n", F.element_at("prefix", -1).alias("last")).dropDuplicates(["node"])
     shared = store.keep(shared_tokens(nodes), "shared-tokens")
     facts = store.keep(facts.join(shared.select("node").distinct(), "node", "left_semi"), "facts")
-    # one member of each opened group first: what links joins the group, and need not meet its other members
-    groups = regrouped(groups, verified(Matrix.of(facts, shared, groups).first_members(), docs))
     label = regrouped(groups, verified(Matrix.of(facts, shared, groups).all_members(), docs))
     # smallest id, and the row that stays, per set and then per component
     best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("best")
