@@ -15,8 +15,9 @@
    the nodes are connected already. The nodes of the smaller of two groups ask.
 
 Every pair that links lies in one group or across two of which one is opened to a node of the other, so
-no connection between different texts is lost. Tokens and sets are 64-bit hashes. Nothing but counts and
-the sampled frequent tokens (they decide the order, never the result) reaches the driver.
+no connection between different texts is lost. Tokens and sets are 64-bit hashes. What
+reaches the driver is bounded: counts, at most ``LAST`` sampled frequent tokens (they decide the order,
+never the result) and, while there are at most ``ASKED``, the names of the nodes to be compared.
 
 Null, empty and blank texts have no shingles: size 0, linked with nothing, a component of their own.
 Null ids take part: the component is named by the smallest id in it that is not null. Repeated rows are
@@ -96,11 +97,6 @@ def prefix_length(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def short_length(n: int) -> int:
-    """The same for sets that are no smaller."""
-    return n - -(-2 * NUM * n // (NUM + DEN)) + 1
-
-
 def node_of(tokens: np.ndarray) -> int:
     """Name of a set: 64 bits of a sum of mixed tokens."""
     return int(tx.signed(tx.mix(np.array([np.sum(tx.mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64) + np.uint64(len(tokens))])))[0])
@@ -223,7 +219,9 @@ def leader_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def shared_tokens(nodes: DataFrame) -> DataFrame:
-    """(token, node, short) of the prefix tokens that more than one node has; short: among the node's first ``short_length``.
+    """(token, node, short) of the prefix tokens that more than one node has; short: among those that
+    suffice to meet sets that are no smaller, ``n - ceil(2 t / (1 + t) n) + 1``.
+
 
     Rows are dealt and sorted by token and read as a stream: a token with very many nodes is a long run, never a group in memory.
     """

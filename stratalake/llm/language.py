@@ -56,7 +56,8 @@ def grams(texts: list[str | None], n: int = GRAM) -> tuple[np.ndarray, np.ndarra
     code = np.zeros(len(points) - n + 1, np.int64)
     for i in range(n):
         code = (code << 21) | points[i : len(points) - n + 1 + i]
-    return row[: len(code)][same] if (same := row[: len(code)] == row[n - 1 :]).any() else row[:0], code[same]
+    same = row[: len(code)] == row[n - 1 :]  # n-grams within one text
+    return row[: len(code)][same], code[same]
 
 
 class Vectors:

@@ -4,10 +4,10 @@
    are full. Each task numbers the pieces of one length in the order in which it meets them.
 2. The histogram of piece lengths has at most ``capacity`` entries whatever the corpus holds; only it
    reaches the driver. The configuration linear program over it (how often is each multiset of lengths
-   that fits one sequence used) is solved by multiplicative weights: each length has a weight, a
-   knapsack dynamic program finds the configuration of most weight, which is used as often as the
-   scarcest of its lengths allows within one step, and weights of lengths that are covered fall.
-3. The fractional use of every configuration is rounded down. What stays uncovered is packed twice, by
+   that fits one sequence used) is solved by multiplicative weights: each length has a price, a
+   knapsack dynamic program finds the configuration of the highest price, which is used as often as the
+   scarcest of its lengths allows within one step, and prices of lengths that are covered fall.
+3. Half of the fractional use of every configuration is rounded down and taken. What stays uncovered is packed twice, by
    further knapsack solutions over the remaining counts and by best fit, and the better one is taken.
 4. The rank of a piece among those of its length (task offset plus number within the task) falls in one
    range of the plan, which gives sequence and offset. A length that a third of the corpus has is
