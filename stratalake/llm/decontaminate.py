@@ -10,6 +10,8 @@
 4. `phrase_matches` checks all words along each diagonal on the documents that have one, and returns the
    runs of equal words that hold a whole window. `proximity_matches` returns documents where the rarest
    words of an item window stand near each other in any order.
+5. A window that several items hold is looked for once, in the name of one of them. Windows held by the
+   same items form one set; a document that holds a window of a set is given all items of the set.
 
 Words are compared by 64-bit hashes. Test words travel to the tasks by broadcast as long as they were
 counted to be at most ``BROADCAST_WORDS``; beyond that they are joined. No list of a word meets in one
@@ -56,14 +58,34 @@ def item_words(items: DataFrame) -> DataFrame:
     return rows.where(F.size("words") > 0).withColumn("uid", F.xxhash64("words"))
 
 
+def _cut(texts: DataFrame, window: int) -> DataFrame:
+    """(uid, at, terms): every place of a window in a text."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)))
+    return texts.select("uid", "words", F.explode(starts).alias("at")).select("uid", "at", F.slice("words", F.col("at") + 1, window).alias("terms"))
+
+
 def windows_of(texts: DataFrame, window: int) -> DataFrame:
     """(uid, at, term, offset) of the windows of every different text; equal windows are kept once."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)))
-    cut = texts.select("uid", "words", F.explode(starts).alias("at")).select("uid", "at", F.slice("words", F.col("at") + 1, window).alias("terms"))
-    once = cut.groupBy("terms").agg(F.min(F.struct("uid", "at")).alias("first"))
+    once = _cut(texts, window).groupBy("terms").agg(F.min(F.struct("uid", "at")).alias("first"))
     return once.select("first.uid", "first.at", F.posexplode("terms").alias("offset", "term"))
 
 
+def shared_windows(texts: DataFrame, window: int) -> DataFrame:
+    """(window, uid, at, held_by): windows of several texts under the name `windows_of` keeps, and their set of texts."""
+    held = _cut(texts, window).groupBy(F.xxhash64("terms").alias("window"), "uid").agg(F.min("at").alias("at"))
+    found = held.groupBy("window").agg(
+        F.min(F.struct("uid", "at")).alias("first"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y")
+    )
+    return found.where("n > 1").select("window", "first.uid", "first.at", F.xxhash64("n", "x", "y", "first.uid").alias("held_by"))
+
+
+def holders(texts: DataFrame, shared: DataFrame, window: int) -> DataFrame:
+    """(held_by, holder): the texts of every set of `shared_windows`."""
+    one = shared.groupBy("held_by").agg(F.min("window").alias("window"))
+    places = _cut(texts, window).select(F.xxhash64("terms").alias("window"), F.col("uid").alias("holder")).distinct()
+    return places.join(store.broadcast_below(one, BROADCAST_ROWS), "window").select("held_by", "holder")
+
+
 def count_terms(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     """(term, occurrences) of the given sorted hashes in all documents."""
 
@@ -121,6 +143,8 @@ class Index:
         self.items = store.keep(item_words(items), "items")
         self.texts = self.items.groupBy("uid").agg(F.first("words").alias("words"))
         spelled = store.keep(windows_of(self.texts, window), "windows")
+        self.shared = store.keep(shared_windows(self.texts, window), "shared-windows")
+        self.holders = store.keep(holders(self.texts, self.shared, window), "holders")
         words = spelled.select("term").distinct()
         known = self._small(words, BROADCAST_WORDS)
         if known is None:
@@ -168,11 +192,24 @@ class Index:
         return met.select("doc_id", "text_key", "uid", (F.col("begin") - F.col("at")).alias("diagonal")).distinct()
 
     def phrase_matches(self) -> DataFrame:
-        """(doc_id, text_key, n_hit, uids): documents that hold a window, words hit, and the texts found.
+        """(doc_id, text_key, n_hit, uid): documents that hold a window, words hit, and each text found.
 
         The places along which the lists agree go with the document; its words are compared with those
         of the item. One document has no more places than word positions times items.
         """
+        matched = store.keep(self._matched(), "matched")
+        runs = matched.select("doc_id", "text_key", "n_hit", F.explode("runs").alias("r")).select("doc_id", "text_key", "n_hit", "r.*")
+        windows = runs.select("doc_id", "text_key", "n_hit", "uid", F.explode(F.sequence("low", "high")).alias("at"))
+        sets = windows.join(self._narrow(self.shared.select("uid", "at", "held_by")), ["uid", "at"]).select("doc_id", "text_key", "n_hit", "held_by").distinct()
+        others = sets.join(self._narrow(self.holders), "held_by").select("doc_id", "text_key", "n_hit", F.col("holder").alias("uid"))
+        return runs.select("doc_id", "text_key", "n_hit", "uid").unionByName(others).distinct()
+
+    @staticmethod
+    def _narrow(table: DataFrame) -> DataFrame:
+        return store.broadcast_below(table, BROADCAST_ROWS)
+
+    def _matched(self) -> DataFrame:
+        """(doc_id, text_key, n_hit, runs): words hit, and the ranges of windows (uid, low, high) of a text that were found."""
         texts = self.texts
         places = store.keep(self.candidates(), "places")
         per_doc = places.join(texts, "uid").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("uid", "diagonal", "words")).alias("places"))
@@ -184,6 +221,7 @@ class Index:
         named = per_doc.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "places")
         joined = held.join(named, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("doc_id", "text_key", "text", "places")
         window = self.window
+        spans = pa.list_(pa.struct([("uid", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -191,29 +229,32 @@ class Index:
                 flat, cut = places.flatten(), np.asarray(places.offsets) - (places.offsets[0].as_py() if len(places) else 0)
                 uid, diagonal = np.asarray(flat.field(0)), np.asarray(flat.field(1))
                 terms, term_cut = tx.listed(flat.field(2))
-                ids, n_hit, uids = [], [], []
+                ids, n_hit, runs = [], [], []
                 for w in tx.words(batch.column(2), tx.ALNUM):
                     bounds = w.bounds()
                     signed = tx.signed(w.hash)
                     for row in range(w.rows):
                         mine = signed[bounds[row] : bounds[row + 1]]
-                        covered, texts_found = np.zeros(len(mine) + 1, np.int64), set()
+                        covered, found = np.zeros(len(mine) + 1, np.int64), set()
                         for p in range(cut[w.first + row], cut[w.first + row + 1]):
                             item = terms[term_cut[p] : term_cut[p + 1]]
                             for begin, end in _runs(mine, item, int(diagonal[p]), window):
                                 covered[begin] += 1
                                 covered[end] -= 1
-                                texts_found.add(int(uid[p]))
+                                found.add((int(uid[p]), begin - int(diagonal[p]), end - int(diagonal[p]) - min(window, len(item))))
                         ids.append(w.first + row)
                         n_hit.append(int((np.cumsum(covered) > 0).sum()))
-                        uids.append(sorted(texts_found))
+                        runs.append([{"uid": u, "low": a, "high": b} for u, a, b in sorted(found)])
                 at = pa.array(ids, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(n_hit, pa.int64()), pa.array(uids, pa.list_(pa.int64()))], ["doc_id", "text_key", "n_hit", "uids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(n_hit, pa.int64()), pa.array(runs, spans)], ["doc_id", "text_key", "n_hit", "runs"])
 
-        return joined.mapInArrow(run, "doc_id long, text_key long, n_hit long, uids array<long>").where("n_hit > 0")
+        return joined.mapInArrow(run, "doc_id long, text_key long, n_hit long, runs array<struct<uid:long,low:int,high:int>>").where("n_hit > 0")
 
     def proximity_matches(self, slack: int = 5) -> DataFrame:
-        """(doc_id, text_key, uid, at): windows whose rarest words all stand within ``window + slack`` words, in any order."""
+        """(doc_id, text_key, uid, at): windows whose rarest words all stand within ``window + slack`` words, in any order.
+
+        A window that several texts hold is returned for each of its places.
+        """
         reach = self.window + slack
         near = None
         for rank in range(1, self.lists + 1):
@@ -227,7 +268,12 @@ class Index:
             within = F.expr(f"filter(positions, p -> greatest(high, p) - least(low, p) < {reach})")
             near = near.join(other, same).select("doc_id", "text_key", "uid", "at", "low", "high", F.explode(within).alias("p"))
             near = near.select("doc_id", "text_key", "uid", "at", F.least("low", "p").alias("low"), F.greatest("high", "p").alias("high")).distinct()
-        return near.select("doc_id", "text_key", "uid", "at").distinct()
+        near = near.select("doc_id", "text_key", "uid", "at").distinct()
+        places = _cut(self.texts, self.window).select("uid", "at", F.xxhash64("terms").alias("window"))
+        first = places.groupBy("window").agg(F.min(F.struct("uid", "at")).alias("first")).select("window", F.col("first.uid").alias("u"), F.col("first.at").alias("a"))
+        every = places.join(first, "window").select("u", "a", F.col("uid").alias("holder"), F.col("at").alias("place"))
+        met = near.join(every, (F.col("uid") == F.col("u")) & (F.col("at") == F.col("a")))
+        return met.select("doc_id", "text_key", F.col("holder").alias("uid"), F.col("place").alias("at"))
 
 
 def _runs(words: np.ndarray, item: np.ndarray, diagonal: int, window: int) -> list[tuple[int, int]]:
@@ -246,7 +292,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     index = Index(docs, items, window)
     found = store.keep(index.phrase_matches(), "phrases")
     ids = index.items.where("item_id IS NOT NULL").select("uid", F.col("item_id").cast("string").alias("item")).distinct()
-    exploded = found.select("doc_id", "text_key", "n_hit", F.explode("uids").alias("uid")).join(ids, "uid", "left")
+    exploded = found.join(ids, "uid", "left")
     hits = exploded.groupBy("doc_id", "text_key").agg(F.first("n_hit").alias("n_hit"), F.sort_array(F.collect_set("item")).alias("items"))
     hits = hits.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "n_hit", "items")
     every = index.stored.select("doc_id", "text_key", "n_words")

@@ -157,6 +157,23 @@ def test_decontamination_equals_brute_force(spark, docs, monkeypatch, broadcast)
     assert len(found) == len(rows)
 
 
+@pytest.mark.parametrize("rows", [dc.BROADCAST_ROWS, 1])
+def test_items_that_share_a_window_are_all_found(spark, docs, monkeypatch, rows):
+    monkeypatch.setattr(dc, "BROADCAST_ROWS", rows)
+    passage = "read the text and choose one answer"
+    items = [(1, f"red green {passage} blue"), (2, f"{passage} black white"), (3, f"gold {passage}"), (4, "choose one answer alone"), (5, "read the"), (6, f"gold {passage}"), (7, "no part of it")]
+    texts = [(1, f"x {passage} y"), (2, f"{passage} black white"), (3, f"{passage} {passage}"), (4, "please choose one answer alone"), (5, "read the"), (None, f"z {passage}"), (6, "text and choose")]
+    found = dc.decontaminate(docs(*texts), spark.createDataFrame(items, "item_id long, text string"), window=4).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found), key=repr) == hits(texts, items, 4)
+    assert [r["items"] for r in found if r.doc_id == 1] == [["1", "2", "3", "5", "6"]]
+
+
+def test_proximity_finds_every_item_of_a_window(spark, docs):
+    items = spark.createDataFrame([(1, "red green blue"), (2, "black red green blue")], "item_id long, text string")
+    index = dc.Index(docs((1, "blue x red y green"), (2, "red")), items, window=3)
+    assert len({r.uid for r in index.proximity_matches(slack=3).collect()}) == 2
+
+
 def test_decontamination_of_empty_tables(spark, docs):
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert dc.decontaminate(docs((1, "a b")).limit(0), items).count() == 0
