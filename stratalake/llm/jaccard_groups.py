@@ -261,6 +261,16 @@ def _left(n: Column) -> Column:
     return F.ceil(n * NUM / F.lit(float(DEN)) - F.lit(1e-9)) - 1
 
 
+def _least_by_member(n: Column, low: Column, high: Column) -> Column:
+    """Least number of tokens that a member of a size from low to high shares with a set of size n if its prefix ends first.
+
+    The need falls with the member's size, save that it may rise by one from 4 k + 3 to 4 k + 4, where `_left` stands still.
+    """
+    turn = high - F.pmod(high + 1, F.lit(DEN))
+    at = lambda m: _overlap(n, m) - _left(m)
+    return F.when(turn >= low, F.least(at(high), at(turn))).otherwise(at(high))
+
+
 @dataclass
 class Matrix:
     """Shared tokens of the nodes placed in groups: ``placed`` (token, node, short, g), ``members`` (node, n, last, g), ``cells`` (token, g, short)."""
@@ -300,7 +310,7 @@ class Matrix:
         low = F.greatest("small", F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9)))
         high = F.least("large", F.floor(F.col("n") * DEN / F.lit(float(NUM)) + F.lit(1e-9)))
         by_query = _overlap(F.col("n"), low) - _left(F.col("n"))
-        by_member = _overlap(F.col("n"), high) - _left(high)
+        by_member = _least_by_member(F.col("n"), low, high)
         need = F.when(F.col("last") <= F.col("first_end"), by_query).when(F.col("last") > F.col("last_end"), by_member).otherwise(F.least(by_query, by_member))
         return met.where((low <= high) & (F.col("common") >= need)).select("q", "g")
 

@@ -114,6 +114,41 @@ def test_components_equal_brute_force(docs, seed):
     assert len(stays) == alone + len({r.component_id for r in found if r.n_shingles})
 
 
+def test_least_need_over_all_member_sizes(spark):
+    n = spark.range(1, 121).select(F.col("id").alias("n"))
+    sizes = n.select("n", F.explode(F.sequence(F.ceil(F.col("n") * 3 / F.lit(4.0)), F.floor(F.col("n") * 4 / F.lit(3.0)))).alias("high"))
+    sizes = sizes.select("n", "high", F.explode(F.sequence(F.ceil(F.col("n") * 3 / F.lit(4.0)), "high")).alias("low"))
+    need = lambda n, m: -(-3 * (n + m) // 7) - (-(-3 * m // 4) - 1)
+    for r in sizes.select("n", "low", "high", jg._least_by_member(F.col("n"), F.col("low"), F.col("high")).alias("least")).collect():
+        assert r.least == min(need(r.n, m) for m in range(r.low, r.high + 1)), r
+
+
+def test_pairs_at_the_threshold_open_their_group(spark):
+    rng = np.random.default_rng(11)
+    cases = [({2, 3, 4, 5, 6, 7, 8}, [{1, 2, 4, 5, 6, 7, 8}, {0, 1, 2, 4, 5, 6, 7, 8}])]
+    for _ in range(40):  # a query and a group of two, of which the first links at exactly 3/4
+        k, far = int(rng.integers(1, 8)), rng.permutation(200).tolist()
+        common, spare = far[: 3 * k], far[3 * k :]
+        cut = int(rng.integers(0, k + 1))
+        query, member = {*common, *spare[:cut]}, {*common, *spare[cut:k]}
+        cases.append((query, [member, member | {spare[k]}]))
+    facts, shared, groups, wanted = [], [], [], set()
+    for c, (query, members) in enumerate(cases):
+        for node, tokens in enumerate([query, *members]):
+            name, n = 10 * c + node, len(tokens)
+            prefix = sorted(1000 * c + t for t in tokens)[: jg.prefix_length(n)]
+            facts.append((name, n, prefix[-1]))
+            shared += [(t, name, place < n - -(-6 * n // 7) + 1) for place, t in enumerate(prefix)]
+            if node:
+                groups.append((name, 10 * c + 1))
+                if 4 * len(query & tokens) >= 3 * len(query | tokens):
+                    wanted.add((10 * c, name))
+    matrix = jg.Matrix.of(
+        spark.createDataFrame(facts, "node long, n long, last long"), spark.createDataFrame(shared, "token long, node long, short boolean"), spark.createDataFrame(groups, "node long, label long")
+    )
+    assert wanted and wanted <= {(r.a, r.b) for r in matrix.all_members().collect()}
+
+
 def test_no_documents(docs):
     assert jg.jaccard_join(docs((1, "x")).limit(0)).count() == 0
 
