@@ -74,6 +74,55 @@ def test_rules_are_many_and_ordered():
     assert scanner.detections("permitted admit limits", every) == []
 
 
+def spelled(pattern, rng) -> str:
+    """A random text that the pattern matches."""
+    out = []
+    for op, arg in pattern:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(arg))
+        elif name == "BRANCH":
+            out.append(spelled(arg[1][rng.integers(len(arg[1]))], rng))
+        elif name == "SUBPATTERN":
+            out.append(spelled(arg[3], rng))
+        elif name == "MAX_REPEAT":
+            out += [spelled(arg[2], rng) for _ in range(rng.integers(arg[0], min(int(arg[1]), arg[0] + 1) + 1))]
+        elif name == "IN":
+            kind, value = arg[rng.integers(len(arg))]
+            out.append({"LITERAL": lambda: chr(value), "RANGE": lambda: chr(rng.integers(value[0], value[1] + 1)), "CATEGORY": lambda: str(rng.integers(10))}[str(kind)]())
+        else:
+            raise NotImplementedError(name)
+    return "".join(out)
+
+
+def test_keywords_hide_no_spelling_of_a_rule(spark, docs):
+    rng = np.random.default_rng(8)
+    rules = licenses.rules()
+    scanner = licenses.Scanner(rules, licenses.BASE)
+    texts = [spelled(re._parser.parse(r.pattern), rng) for r in rules for _ in range(12)]
+    texts = [mark.format(t) for t, mark in zip(texts, ["{}", "\u201c{}\u201d", "x: {}.", "\u2014{}\u2014"] * len(texts))]
+    for text, rule in zip(texts, [r for r in rules for _ in range(12)]):
+        assert re.search(rule.pattern, text) and all(any(k in text for k in group.split("|")) for group in rule.keyword.split("&")), (text, rule)
+    found = {r.doc_id: [tuple(x) for x in r.spans] for r in licenses.scan(docs(*enumerate(t.upper() if i % 2 else t for i, t in enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        assert found[i] == scanner.detections(text, set(scanner.words)) != [], text
+
+
+def test_versions_and_identifiers(spark, docs):
+    wanted = {
+        "licensed under the GPLv3": "gpl-3.0", "licensed under GPL v3.0": "gpl-3.0", "Licensed under the GNU LGPLv2.1.": "lgpl-2.1", "released under AGPLv3": "agpl-3.0",
+        "SPDX-License-Identifier: GPL-3.0-only": "gpl-3.0", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0", "SPDX-License-Identifier: GPL-2.0+": "gpl-2.0",
+        "SPDX-License-Identifier: LGPL-2.1-only": "lgpl-2.1", "SPDX-License-Identifier: AGPL-3.0-or-later": "agpl-3.0", "SPDX-License-Identifier: GFDL-1.3-only": "fdl-1.3",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "SPDX-License-Identifier: Apache-1.1": "apache-1.1", "SPDX-License-Identifier: MPL-2.0": "mpl-2.0",
+        "SPDX-License-Identifier: EPL-2.0": "epl-2.0", "SPDX-License-Identifier: BSL-1.0": "boost-1.0", "SPDX-License-Identifier: BUSL-1.1": "bsl-1.1",
+        "SPDX-License-Identifier: PostgreSQL": "postgresql", "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause", "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa",
+        "under the \u201cMIT\u201d": "", "\u201cMIT License\u201d": "mit", "License: MPL-2.0": "mpl-2.0",
+    }
+    texts = list(wanted)
+    got = {texts[r.doc_id]: r.labels for r in licenses.scan(docs(*enumerate(texts))).collect()}
+    assert got == wanted
+
+
 def test_base_places_equal_brute_force(spark, docs):
     rng = np.random.default_rng(6)
     pool = ["cc", "by", "CC-BY", "general", "public", "license", "All rights", "reserved", ".", "General Public License", "é", "x", "\n", "MIT License"]
