@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontaminate, html_main, jaccard_groups, language, licenses, packing, token_counts, topk, toxicity, url_filter
+from stratalake.llm import decontaminate, html_main, jaccard_groups, language, licenses, merkle, packing, token_counts, topk, toxicity, url_filter
 from stratalake.llm.store import held_out, table, training_row
+from stratalake.llm.tree_sql import MERKLE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -138,3 +139,8 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard_groups")
 def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def _merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
