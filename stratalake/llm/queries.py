@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontaminate, html_main, jaccard_groups, language, licenses, merkle, packing, pieces, token_counts, topk, toxicity, url_filter
+from stratalake.llm import decontaminate, html_main, jaccard_groups, language, licenses, merkle, packing, pieces, token_counts, topk, toxicity, trie, url_filter
 from stratalake.llm.store import held_out, table, training_row
-from stratalake.llm.tree_sql import MERKLE_SQL
+from stratalake.llm.tree_sql import MERKLE_SQL, TRIE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -141,6 +141,11 @@ def _jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op11_prefix_trie", TRIE_SQL)
+def _trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_sentencepiece")
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), str(public_tokenizers.path("piece_bpe_32k.model")))

@@ -42,3 +42,18 @@ w AS (SELECT r, g, g AS own, 0 AS level, pos, n, coalesce(other, leaf) AS h, ''
 SELECT p.doc_id, p.leaf, t.h AS subroot, u.h AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = u.h AS verified
 FROM p JOIN t ON t.g = p.g AND t.n = 1 JOIN u ON u.n = 1 JOIN w ON w.r = p.r AND w.g = -1 AND w.n = 1
 """
+
+
+TRIE_SQL = f"""
+WITH own AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, {crc32_sql('conv_id::VARCHAR')} % 6 AS h FROM own),
+r AS (SELECT a.conv_id, list_concat(list_slice(coalesce(b.t, []), 1, a.h), list_slice(a.t, a.h + 1, len(a.t))) AS t FROM h a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+p AS (SELECT conv_id, d, len(t) AS n, list_slice(t, 1, d) AS k, t[d].text AS last FROM r, unnest(range(0, len(t) + 1)) AS u(d)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(any_value(last)), 0) AS saved,
+        string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d) AS ends FROM p GROUP BY k, d),
+c AS (SELECT list_slice(k, 1, d - 1) AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+l AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (k, d)),
+s AS (SELECT list_slice(l.k, 1, u.d) AS k, u.d, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS n_leaves FROM l, unnest(range(0, l.d + 1)) AS u(d) GROUP BY ALL)
+SELECT l.conv_id, l.d AS depth, up.conv_id AS parent_conv_id, l.n_convs, l.n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(l.ends, '')) AS ends_sha256
+FROM l JOIN s ON s.k = l.k AND s.d = l.d LEFT JOIN n up ON l.d > 0 AND up.d = l.d - 1 AND up.k = list_slice(l.k, 1, l.d - 1)
+"""
