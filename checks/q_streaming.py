@@ -9,8 +9,10 @@ from checks.registry import query
 from stratalake.operators import cdc
 from stratalake.operators import quality as q
 from stratalake.sources import readers, writers
+from stratalake.sources.evolving import SchemaStore, evolving_stream
 from stratalake.sources.snapshots import SnapshotTable
 from stratalake.streaming import flows
+from stratalake.streaming.chain import TripChain
 
 
 def _landed(d, rows, label: str, files: int = 3) -> str:
@@ -235,3 +237,74 @@ def _(d):
         return d.spark.read.parquet(f"{base}/{name}").groupBy(F.lit(rejected).alias("rejected")).agg(F.count("*").alias("n"))
 
     return branch("clean", False).unionByName(branch("quarantine", True))
+
+
+SECOND_DELIVERY = {
+    "tip_amount": "CASE WHEN VendorID = 2 THEN NULL ELSE tip_amount + 1 END",
+    "congestion_surcharge": "CASE WHEN VendorID = 1 THEN CAST(NULL AS DOUBLE) ELSE CAST(0.75 AS DOUBLE) END",
+}
+CBD_FEE = "CASE WHEN VendorID <> 6 THEN CAST(0.75 AS DOUBLE) END"
+DELIVERED = ("2024-03-01 00:00:00", "2024-03-02 00:00:00")
+
+
+def _both_deliveries(table: str) -> str:
+    """The rows of both deliveries: the second has other values and one more column."""
+    changes = ", ".join(f"{e} AS {c}" for c, e in SECOND_DELIVERY.items())
+    return f"""SELECT * REPLACE (TIMESTAMP '{DELIVERED[0]}' AS _ingestion_timestamp), CAST(NULL AS DOUBLE) AS cbd_congestion_fee FROM {table}
+    UNION ALL SELECT * REPLACE (TIMESTAMP '{DELIVERED[1]}' AS _ingestion_timestamp, {changes}), {CBD_FEE} FROM {table}"""
+
+
+def _delivered_twice(d, label: str) -> TripChain:
+    """Landing files to folded trips; the second delivery brings a new column and wider zone numbers."""
+    landing, chain = d.scratch(f"{label}-landing"), TripChain(d.spark, d.scratch(label), RULES)
+    trips = d.view("trips").drop("_ingestion_timestamp")
+    narrow = trips.withColumns({c: F.col(c).cast("int") for c in ("PULocationID", "DOLocationID", "payment_type")})
+    later = trips.withColumns({c: F.expr(e) for c, e in SECOND_DELIVERY.items()} | {"cbd_congestion_fee": F.expr(CBD_FEE)})
+    for rows, moment in ((narrow, DELIVERED[0]), (later, DELIVERED[1])):
+        rows.write.mode("append").parquet(landing)
+        chain.run(landing, moment, moment, CHECKED_AT)
+    return chain
+
+
+@query(
+    "t1_to_t6_trip_chain",
+    f"WITH delivered AS ({_both_deliveries('clean_trips')}) SELECT "
+    + ", ".join(flows.TRIP_KEYS)
+    + ", max(_ingestion_timestamp) AS _ingestion_timestamp, max(_ingestion_timestamp) AS _batch, "
+    + ", ".join(
+        f"(max(struct_pack(s := _ingestion_timestamp, v := {c})) FILTER (WHERE {c} IS NOT NULL)).v AS {c}"
+        for c in [*TRIP_VALUES, "cbd_congestion_fee"]
+    )
+    + " FROM delivered GROUP BY "
+    + ", ".join(flows.TRIP_KEYS),
+)
+def _(d):
+    """Four streams in a row, run once per delivery."""
+    return _delivered_twice(d, "t16").trips().drop("_source_file").withColumn("_batch", F.col("_batch_id").cast("timestamp")).drop("_batch_id")
+
+
+@query(
+    "t3_chain_quarantine",
+    f"SELECT *, _ingestion_timestamp AS _batch FROM ({_both_deliveries('flagged_trips')}) WHERE is_quarantined",
+)
+def _(d):
+    """What the chain keeps of rejected rows, of both deliveries."""
+    rows = _delivered_twice(d, "t3c").quarantine_rows()
+    return rows.drop("_source_file").withColumn("_batch", F.col("_batch_id").cast("timestamp")).drop("_batch_id")
+
+
+@query(
+    "s7_inferred_schema_grows",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, NULL AS clerk FROM orders "
+    "UNION ALL SELECT o_orderkey + 5000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'clerk ' || CAST(o_custkey % 10 AS VARCHAR) FROM orders",
+)
+def _(d):
+    """Order numbers outgrow int in the second folder, which also has one more column; no schema is declared."""
+    orders, landing, path = d.base("orders"), d.scratch("s7e-landing"), d.scratch("s7e")
+    schemas = SchemaStore(d.spark, f"{path}-schema")
+    first = orders.withColumns({"o_orderkey": F.col("o_orderkey").cast("int"), "o_totalprice": F.col("o_totalprice")})
+    second = orders.withColumns({"o_orderkey": F.col("o_orderkey") + 5_000_000_000, "clerk": F.concat(F.lit("clerk "), (F.col("o_custkey") % 10).cast("string"))})
+    for rows in (first, second):
+        rows.write.mode("append").parquet(landing)
+        evolving_stream(d.spark, landing, schemas, lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}"), f"{path}-progress")
+    return d.spark.read.schema(schemas.schema()).parquet(f"{path}/*")

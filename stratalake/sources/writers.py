@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -50,11 +51,12 @@ def flag_partitioned(df: DataFrame, path: str, flag: str = "is_quarantined") ->
     df.write.mode("overwrite").partitionBy(flag).parquet(path)
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def append_stream(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Append what is available now and stop; progress is kept in the checkpoint."""
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
+        .partitionBy(*partition_by)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
