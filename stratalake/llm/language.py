@@ -5,7 +5,7 @@ its letters: the elementwise product of their vectors, each rotated by its place
 bundles (sums) those of its n-grams, words being padded by one space; the prototype of a language bundles the
 texts learned for it. A text gets the language whose prototype has the largest cosine with its vector.
 
-Training sums one vector per language and task, so a language with a third of all texts is no hot group;
+Training sums one vector per language and task, then by language and dimension, so no language is a hot group;
 one vector per language reaches the driver. Prediction is one pass without a shuffle.
 
 Null texts and texts without a letter get ``und`` and score 0, as does every text when nothing was
@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +27,10 @@ from stratalake.llm import text as tx
 
 DIMENSIONS = 512
 GRAM = 3
-#: n-grams whose vectors a worker remembers (2 KB each); the table is begun anew when full.
+#: n-grams whose vectors a worker remembers, a byte per dimension; the table is begun anew when full.
 REMEMBERED = 20_000
+#: Vectors that are bound or summed up at once.
+BLOCK = 4096
 UNDETERMINED = "und"
 _SPACE = 0x20
 _letters: np.ndarray | None = None
@@ -61,52 +62,66 @@ def grams(texts: list[str | None], n: int = GRAM) -> tuple[np.ndarray, np.ndarra
 
 
 class Vectors:
-    """Vectors of n-grams by code."""
+    """Vectors of n-grams by code, of +1 and -1 in single bytes."""
 
     def __init__(self, dimensions: int = DIMENSIONS, n: int = GRAM):
         self.dimensions, self.n = dimensions, n
+        self.table = np.empty((REMEMBERED, dimensions), np.int8)
         self.letters: dict[int, np.ndarray] = {}
         self._clear()
 
     def _clear(self) -> None:
         self.codes, self.at = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.table = np.empty((0, self.dimensions), np.float32)
 
     def _letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
-            self.letters[point] = (np.random.default_rng(point).integers(0, 2, self.dimensions) * 2 - 1).astype(np.float32)
+            if len(self.letters) >= REMEMBERED:
+                self.letters.clear()
+            self.letters[point] = (np.random.default_rng(point).integers(0, 2, self.dimensions) * 2 - 1).astype(np.int8)
         return self.letters[point]
 
-    def _bind(self, code: int) -> np.ndarray:
-        out = np.ones(self.dimensions, np.float32)
+    def _bind(self, codes: np.ndarray) -> np.ndarray:
+        out = np.ones((len(codes), self.dimensions), np.int8)
         for place in range(self.n):
-            out = out * np.roll(self._letter((code >> (21 * place)) & 0x1FFFFF), place)
+            points, which = np.unique((codes >> (21 * place)) & 0x1FFFFF, return_inverse=True)
+            out *= np.stack([np.roll(self._letter(p), place) for p in points.tolist()])[which]
         return out
 
     def rows(self, codes: np.ndarray) -> np.ndarray:
-        """Row of ``table`` for each of the sorted different codes."""
-        if len(self.codes) > REMEMBERED:
-            self._clear()
+        """Row of ``table`` for each of at most `REMEMBERED` sorted different codes."""
         new = codes[~tx.contains(self.codes, codes)]
+        if len(self.codes) + len(new) > REMEMBERED:
+            self._clear()
+            new = codes
+        base = len(self.codes)
+        for i in range(0, len(new), BLOCK):
+            part = new[i : i + BLOCK]
+            self.table[base + i : base + i + len(part)] = self._bind(part)
         if len(new):
-            base = len(self.table)
-            self.table = np.concatenate([self.table, np.stack([self._bind(int(c)) for c in new])])
             where = np.searchsorted(self.codes, new)
             self.codes = np.insert(self.codes, where, new)
             self.at = np.insert(self.at, where, base + np.arange(len(new)))
         return self.at[np.searchsorted(self.codes, codes)]
 
+    def _sum(self, codes: np.ndarray, counts: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """Sum of vectors times counts, `BLOCK` vectors at a time; exact below 2^24."""
+        out = np.zeros(self.dimensions, np.float32)
+        for i in range(0, len(codes), BLOCK):
+            rows = self.rows(codes[i : i + BLOCK]) if at is None else at[i : i + BLOCK]
+            out += counts[i : i + BLOCK].astype(np.float32) @ self.table[rows].astype(np.float32)
+        return out
+
     def bundle(self, row: np.ndarray, code: np.ndarray, rows: int) -> np.ndarray:
         """Sum of the n-gram vectors of each row."""
         out = np.zeros((rows, self.dimensions), np.float32)
-        codes, inverse = np.unique(code, return_inverse=True)
-        at = self.rows(codes)
         cut = np.searchsorted(row, np.arange(rows + 1))
+        codes, inverse = np.unique(code, return_inverse=True)
+        at = self.rows(codes) if len(codes) <= REMEMBERED else None
         for i in range(rows):
             if cut[i] < cut[i + 1]:
                 count = np.bincount(inverse[cut[i] : cut[i + 1]], minlength=1)
                 used = np.flatnonzero(count)
-                out[i] = count[used].astype(np.float32) @ self.table[at[used]]
+                out[i] = self._sum(codes[used], count[used], None if at is None else at[used])
         return out
 
 
@@ -139,12 +154,13 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, n: int = GRAM) -> dict[
                     total[name] = total.get(name, 0) + v.astype(np.float64)
         yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "vector": pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))})
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "vector": [np.sum(np.stack(group["vector"]), axis=0)]})
-
     chosen = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     parts = chosen.mapInArrow(run, "lang string, vector array<double>")
-    return {r["lang"]: np.array(r["vector"]) for r in parts.groupBy("lang").applyInPandas(add, "lang string, vector array<double>").collect()}
+    summed = parts.select("lang", F.posexplode("vector")).groupBy("lang", "pos").agg(F.sum("col").alias("value"))  # whole numbers: any order gives the same
+    prototypes: dict[str, np.ndarray] = {}
+    for r in summed.collect():
+        prototypes.setdefault(r["lang"], np.zeros(dimensions))[r["pos"]] = r["value"]
+    return prototypes
 
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",), dimensions: int = DIMENSIONS, n: int = GRAM, text: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ def folder(spark: SparkSession, label: str) -> str:
 
 
 #: Arrow batches sent to Python tasks, so that long texts and large sets do not add up.
-BATCH_BYTES = 64 << 20
+BATCH_BYTES = 8 << 20
 
 
 def bounded(spark: SparkSession) -> SparkSession:

@@ -73,3 +73,26 @@ def test_toxicity_of_awkward_rows(spark, docs):
     found = sorted((r.doc_id or 0, r.predicted) for r in toxicity.toxicity(df, labels, training_row()).collect())
     assert found == [(0, 1), (1, 0), (2, 0), (4, 1), (4, 1), (5, 0)]
     assert toxicity.toxicity(df.limit(0), labels.limit(0), training_row()).count() == 0
+
+
+def test_bundles_are_plain_sums_of_bound_letters(monkeypatch):
+    """Also when the table of remembered n-grams is far too small."""
+    import numpy as np
+
+    from stratalake.llm import language
+
+    texts = ["hello wörld this is", "", "zz", "漢字 test " * 50, None]
+    row, code = language.grams(texts)
+    expected = np.zeros((len(texts), 64))
+    for i, c in zip(row.tolist(), code.tolist()):
+        bound = np.ones(64)
+        for place in range(3):
+            letter = np.random.default_rng((c >> (21 * place)) & 0x1FFFFF).integers(0, 2, 64) * 2 - 1
+            bound *= np.roll(letter, place)
+        expected[i] += bound
+    assert (language.Vectors(64).bundle(row, code, len(texts)) == expected).all()
+    monkeypatch.setattr(language, "REMEMBERED", 50)
+    monkeypatch.setattr(language, "BLOCK", 20)
+    small = language.Vectors(64)
+    assert (small.bundle(row, code, len(texts)) == expected).all() and len(small.codes) <= 50
+    assert (small.bundle(row, code, len(texts)) == expected).all()
