@@ -14,6 +14,7 @@ from stratalake.operators import merge as m
 from stratalake.operators import scd2
 from stratalake.operators import transforms as t
 from stratalake.operators.dedup import latest_per_key, latest_per_key_sql
+from stratalake.plans.gold import SalesSummary
 from stratalake.plans.layers import CUSTOMER_HISTORY, SALES_LOADS, STORE_LOADS, USER_HISTORY, Lakehouse
 from stratalake.plans.sales import customer_sales_summary
 from stratalake.plans.trips import vendor_stats
@@ -616,3 +617,47 @@ def _(d):
 def _(d):
     report = _loaded_twice(d, "travel").time_travel("silver.sales_customers")
     return d.base("region").limit(1).select(*[F.lit(v).alias(k) for k, v in report.items()])
+
+
+def _changed_silver(summary: str) -> str:
+    """The summary over what the two deliveries of `_gold_by_increments` leave in Silver, without its time."""
+    silver = """sold AS (
+    SELECT * REPLACE (CASE WHEN transactionID % 7 <> 0 AND transactionID % 5 = 1 THEN totalPrice + 1 ELSE totalPrice END AS totalPrice,
+        CASE WHEN transactionID % 7 <> 0 AND transactionID % 5 = 1 THEN 9 ELSE customerID END AS customerID,
+        CASE WHEN transactionID % 7 <> 0 AND transactionID % 5 = 1 THEN '1990-01-01' ELSE dateTime END AS dateTime)
+    FROM silver_transactions
+    WHERE CASE WHEN transactionID % 7 = 0 THEN NOT _is_deleted WHEN transactionID % 5 = 1 THEN TRUE WHEN transactionID % 11 = 2 THEN FALSE ELSE NOT _is_deleted END),
+known AS (
+    SELECT * REPLACE (CASE WHEN state = 'MACHINERY' THEN 'Moved' ELSE city END AS city) FROM silver_customers
+    WHERE CASE WHEN state = 'MACHINERY' THEN TRUE WHEN state = 'FURNITURE' AND gender = 'female' THEN FALSE ELSE NOT _is_deleted END),"""
+    body = summary.strip().removeprefix("WITH").replace("FROM silver_transactions", "FROM sold").replace("FROM silver_customers", "FROM known")
+    return f"SELECT * EXCLUDE (_gold_updated_at) FROM (WITH {silver}{body})"
+
+
+@query("i10_gold_by_increments", _changed_silver(SUMMARY_SQL))
+def _(d):
+    """Inserts, updates that move sales to another customer, and deletes, taken up without reading other customers."""
+    house = Lakehouse(d.spark, d.scratch("i10g"), buckets=8)
+    summary = SalesSummary(house, CENTS)
+    sales, customers = _timed(d, "sales_transactions"), _timed(d, "sales_customers")
+    key = F.coalesce(F.col("transactionID").try_cast("bigint"), F.lit(1))
+    changed, gone = (key % 7 != 0) & (key % 5 == 1), (key % 7 != 0) & (key % 5 != 1) & (key % 11 == 2)
+    later = {"_ingestion_timestamp": F.lit("2024-02-10").cast("timestamp")}
+    update = {
+        "totalPrice": F.when(changed, (F.col("totalPrice").try_cast("bigint") + 1).cast("string")).otherwise(F.col("totalPrice")),
+        "customerID": F.when(changed, F.lit("9")).otherwise(F.col("customerID")),
+        "dateTime": F.when(changed, F.lit("1990-01-01")).otherwise(F.col("dateTime")),
+        "_is_deleted": F.when(changed, F.lit(False)).when(gone, F.lit(True)).otherwise(F.col("_is_deleted")),
+    }
+    moved, left = F.col("state") == "MACHINERY", (F.col("state") == "FURNITURE") & (F.col("gender") == "female")
+    news = {"city": F.when(moved, F.lit("Moved")).otherwise(F.col("city")), "_is_deleted": F.when(moved, F.lit(False)).when(left, F.lit(True)).otherwise(F.col("_is_deleted"))}
+    deliveries = (
+        (sales.where(key % 7 != 0), customers.where("state <> 'BUILDING'")),
+        (sales.where((key % 7 == 0) | changed | gone).withColumns(update).withColumns(later), customers.where(F.col("state").isin("BUILDING", "MACHINERY") | left).withColumns(news).withColumns(later)),
+    )
+    for n, (sold, known) in enumerate(deliveries):
+        house.table("bronze.sales_transactions").append(sold, DAYS[n])
+        house.table("bronze.sales_customers").append(known, DAYS[n])
+        summary.load(DAYS[n])
+        summary.refresh(DAYS[n])
+    return summary.gold.read().drop("_gold_updated_at")
