@@ -79,6 +79,11 @@ def _(d):
     return b.brand_job(d.store, CENTS)
 
 
+@query("g4_brand_job_bitmaps", JOB_SQL)
+def _(d):
+    return b.brand_job_single_pass(d.store, CENTS, by_bitmaps=True)
+
+
 @query("g4_brand_job_single_pass", JOB_SQL)
 def _(d):
     return b.brand_job_single_pass(d.store, CENTS)

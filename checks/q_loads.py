@@ -19,6 +19,7 @@ from stratalake.plans.layers import CUSTOMER_HISTORY, SALES_LOADS, STORE_LOADS,
 from stratalake.plans.sales import customer_sales_summary
 from stratalake.plans.trips import vendor_stats
 from stratalake.sources import readers, writers
+from stratalake.sources.catalog import save_table
 from stratalake.sources.snapshots import SnapshotTable
 
 DAYS = [datetime(2024, 3, 1) + timedelta(days=n) for n in range(6)]
@@ -82,6 +83,24 @@ def _(d):
     return readers.table(d.spark, "s6_part").groupBy("p_brand").agg(F.count("*").alias("n"))
 
 
+@query("s6_created_table_by_name", "SELECT p_brand, p_type, count(*) AS n, sum(p_size) AS total_size FROM part GROUP BY ALL")
+def _(d):
+    """A table made from a query, read by its name in SQL."""
+    path = d.scratch("s6")
+    name = f"part_{path.rsplit('-', 1)[1]}"
+    save_table(d.base("part").select("p_brand", "p_type", F.col("p_size").cast("bigint").alias("p_size")), name, path)
+    return d.spark.sql(f"SELECT p_brand, p_type, count(*) AS n, sum(p_size) AS total_size FROM {name} GROUP BY p_brand, p_type")
+
+
+@query("k2_create_or_replace_catalog_table", "SELECT * EXCLUDE (s_acctbal), s_acctbal > 0 AS solvent FROM supplier")
+def _(d):
+    """Created twice: the second query replaces rows and columns."""
+    path = d.scratch("k2c")
+    name = f"supplier_{path.rsplit('-', 1)[1]}"
+    save_table(d.base("supplier"), name, f"{path}/1", 4, ["s_suppkey"])
+    return save_table(d.base("supplier").withColumn("solvent", F.col("s_acctbal") > 0).drop("s_acctbal"), name, f"{path}/2", 4, ["s_suppkey"])
+
+
 def _versions(d, label: str) -> SnapshotTable:
     """A table of three versions: created, appended to, merged into."""
     table = SnapshotTable(d.spark, d.scratch(label), ["transactionID"], buckets=4)
@@ -131,13 +150,17 @@ def _(d):
 
 @query(
     "s13_hours_without_data",
-    f"""SELECT 2024 AS year, 1 AS month, d.day::INT AS day, h.hour::INT AS hour FROM range(1, 32) d(day), range(0, 24) h(hour)
-WHERE NOT EXISTS (SELECT 1 FROM silver_store WHERE day(event_time) = d.day AND hour(event_time) = h.hour AND _source_file = 'landing/events')""",
+    """WITH seen AS (SELECT date_trunc('hour', event_time) AS h FROM silver_store WHERE event_type = 'purchase'),
+every AS (SELECT unnest(generate_series((SELECT min(date_trunc('hour', event_time)) FROM silver_store), (SELECT max(event_time) FROM silver_store), INTERVAL 1 HOUR)) AS h)
+SELECT year(h)::INT AS year, month(h)::INT AS month, day(h)::INT AS day, hour(h)::INT AS hour FROM every WHERE h NOT IN (SELECT h FROM seen WHERE h IS NOT NULL)""",
 )
 def _(d):
-    days = d.spark.range(1, 32).select(F.lit(2024).alias("year"), F.lit(1).alias("month"), F.col("id").cast("int").alias("day"))
-    expected = days.select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
-    return readers.missing_hours(d.store.withColumns(hour_parts(F.col("event_time"))), expected)
+    """Hours without a purchase, of all hours between the first and the last event."""
+    time = F.date_trunc("hour", F.col("event_time"))
+    bounds = d.store.agg(F.min(time).alias("first"), F.max(time).alias("last"))
+    expected = bounds.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 HOUR"))).alias("moment"))
+    expected = expected.select(*[part.alias(name) for name, part in hour_parts(F.col("moment")).items()])
+    return readers.missing_hours(t.extract_purchases(d.store).withColumns(hour_parts(F.col("event_time"))), expected)
 
 
 @query("s13_hour_gate", f"SELECT count(*) > 0 AS present, FALSE AS absent FROM silver_store WHERE {HOUR_SQL}")
@@ -150,11 +173,11 @@ def _(d):
 
 @query(
     "s14_rows_in_code",
-    "SELECT o_orderstatus, label, count(*) AS n FROM orders JOIN (VALUES ('O', 'open'), ('F', 'filled')) v(status, label) ON o_orderstatus = status GROUP BY 1, 2",
+    "SELECT o_orderstatus, label, count(*) AS n FROM orders LEFT JOIN (VALUES ('O', 'open'), ('F', 'filled')) v(status, label) ON o_orderstatus = status GROUP BY 1, 2",
 )
 def _(d):
     labels = readers.rows(d.spark, [("O", "open"), ("F", "filled")], "o_orderstatus string, label string")
-    return d.base("orders").join(labels, "o_orderstatus").groupBy("o_orderstatus", "label").agg(F.count("*").alias("n"))
+    return d.base("orders").join(labels, "o_orderstatus", "left").groupBy("o_orderstatus", "label").agg(F.count("*").alias("n"))
 
 
 @query("s15_table_exists", "SELECT FALSE AS before, TRUE AS after, count(*) AS n FROM orders")
@@ -421,9 +444,9 @@ def _(d):
     return house.source("silver.sales_transactions")
 
 
-LOADED_TWICE = f"""
+LOADED_TWICE = """
 WITH versions AS (
-    SELECT * FROM silver_customers WHERE {OLD}
+    SELECT * FROM silver_customers
     UNION ALL SELECT * REPLACE (coalesce(city, '') || ' new' AS city, TIMESTAMP '2024-02-10' AS _ingestion_timestamp, gender = 'female' AS _is_deleted)
         FROM silver_customers WHERE state = 'BUILDING'),
 latest AS (
@@ -432,9 +455,9 @@ SELECT * EXCLUDE (rn) FROM latest WHERE NOT _is_deleted"""
 
 
 def _loaded_twice(d, label: str, **options):
-    """Customers loaded, then a second delivery with changed, new and deleted keys."""
+    """All customers, also those without a number, in two deliveries; the second also changes and deletes earlier ones."""
     house = Lakehouse(d.spark, d.scratch(label), buckets=4)
-    bronze, rows = house.table("bronze.sales_customers"), _timed(d, "sales_customers").where("customerID IS NOT NULL")
+    bronze, rows = house.table("bronze.sales_customers"), _timed(d, "sales_customers")
     bronze.append(rows.where("_ingestion_timestamp < '2024-01-03'"), DAYS[0])
     house.load(SALES_LOADS[0], as_of=DAYS[0], **options)
     second = rows.where("state = 'BUILDING'").withColumns(
@@ -444,7 +467,7 @@ def _loaded_twice(d, label: str, **options):
             "_is_deleted": F.col("gender") == "female",
         }
     )
-    bronze.append(second, DAYS[1])
+    bronze.append(rows.where("_ingestion_timestamp >= '2024-01-03'").unionByName(second), DAYS[1])
     house.load(SALES_LOADS[0], as_of=DAYS[1], **options)
     return house
 

@@ -6,6 +6,7 @@ from checks.domain import RULES
 from checks.q_analytics import CENTS, JOB_SQL, VENDOR_SQL
 from checks.registry import query
 from stratalake.functions import enrich
+from stratalake.functions.columns import hour_parts
 from stratalake.operators import quality as q
 from stratalake.operators import transforms as t
 from stratalake.plans import brands as b
@@ -82,7 +83,7 @@ FROM (SELECT user_session FROM {UNCHECKED} GROUP BY 1 HAVING count(*) > 1)""",
 def _register_check(number: int, check: str) -> None:
     @query(f"q{number}_{check}", CHECK_SQL[check])
     def _(d):
-        return q.check_report(_unchecked(d)).where(F.col("check_name") == check)
+        return q.check_report(_unchecked(d), checks=[check])
 
 
 for _number, _check in enumerate(CHECK_SQL, start=11):
@@ -104,6 +105,43 @@ def _(d):
     return d.view("ecommerce_store").agg(F.count("*").alias("events"), F.lit(failed).alias("failed_check"))
 
 
+def _by_landing_hour(d):
+    """Unchecked events in partitions by the hour in which they landed."""
+    return _unchecked(d).withColumns(hour_parts(F.col("_ingestion_timestamp")))
+
+
+HOURLY = """(SELECT year(t)::INT AS year, month(t)::INT AS month, day(t)::INT AS day, hour(t)::INT AS hour, * EXCLUDE (t)
+FROM (SELECT CAST(_ingestion_timestamp AS TIMESTAMP) AS t, event_time, event_type, user_session, TRY_CAST(price AS DOUBLE) AS price FROM ecommerce_store))"""
+HOURLY_SQL = f"""
+WITH e AS {HOURLY},
+r AS (SELECT year, month, day, hour, count(*) AS row_count, count(*) FILTER (WHERE event_time IS NULL) AS null_event_times,
+        count(*) FILTER (WHERE price IS NULL OR price <= 0) AS bad_prices FROM e GROUP BY ALL),
+k AS (SELECT year, month, day, hour, count(*) AS n, coalesce(string_agg(event_type, ',' ORDER BY event_type), '') AS types
+      FROM (SELECT DISTINCT year, month, day, hour, event_type FROM e WHERE event_type IS NULL OR event_type NOT IN ('view', 'cart', 'purchase')) GROUP BY ALL),
+s AS (SELECT year, month, day, hour, count(*) AS n FROM (SELECT year, month, day, hour, user_session FROM e GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL),
+a AS (SELECT r.*, coalesce(k.n, 0) AS kinds, coalesce(types, '') AS invalid_types, coalesce(s.n, 0) AS sessions FROM r LEFT JOIN k USING (year, month, day, hour) LEFT JOIN s USING (year, month, day, hour))
+SELECT year, month, day, hour, invalid_types, 'row_count' AS check_name, 'hard' AS severity, row_count AS value, row_count > 0 AS passed FROM a
+UNION ALL SELECT year, month, day, hour, invalid_types, 'null_event_times', 'hard', null_event_times, null_event_times = 0 FROM a
+UNION ALL SELECT year, month, day, hour, invalid_types, 'invalid_event_types', 'hard', kinds, kinds = 0 FROM a
+UNION ALL SELECT year, month, day, hour, invalid_types, 'bad_prices', 'hard', bad_prices, bad_prices = 0 FROM a
+UNION ALL SELECT year, month, day, hour, invalid_types, 'duplicate_sessions', 'soft', sessions, sessions = 0 FROM a"""
+
+
+@query("q16_hourly_report", HOURLY_SQL)
+def _(d):
+    return q.hourly_report(_by_landing_hour(d))
+
+
+@query(
+    "q16_first_failure_by_hour",
+    f"""SELECT year, month, day, hour, CASE WHEN bool_or(check_name = 'null_event_times' AND NOT passed) THEN 'null_event_times'
+    WHEN bool_or(check_name = 'invalid_event_types' AND NOT passed) THEN 'invalid_event_types'
+    WHEN bool_or(check_name = 'bad_prices' AND NOT passed) THEN 'bad_prices' END AS failed_check FROM ({HOURLY_SQL}) GROUP BY ALL""",
+)
+def _(d):
+    return q.first_failures(q.hourly_report(_by_landing_hour(d)))
+
+
 # -- value lists ------------------------------------------------------------------------------
 
 

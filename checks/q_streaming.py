@@ -308,3 +308,40 @@ def _(d):
         rows.write.mode("append").parquet(landing)
         evolving_stream(d.spark, landing, schemas, lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}"), f"{path}-progress")
     return d.spark.read.schema(schemas.schema()).parquet(f"{path}/*")
+
+
+DELAY_DAYS = 5
+
+
+@query(
+    "t5_repeats_dropped_within_watermark",
+    f"""SELECT event_id, user_id, event_type, ts FROM events UNION ALL
+SELECT event_id + 10000000, user_id, event_type, ts FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL '{DELAY_DAYS}' DAY""",
+)
+def _(d):
+    """Three deliveries: all events; the same again; all under new numbers, of which those behind the watermark are late."""
+    events = d.base("events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    landing, path = d.scratch("t5w-landing"), d.scratch("t5w")
+    for shift in (0, 0, 10_000_000):
+        events.withColumn("event_id", F.col("event_id") + shift).write.mode("append").parquet(landing)
+        stream = readers.file_stream(d.spark, landing, events.schema).drop("_source_file")
+        writers.append_stream(flows.without_repeats(stream, ["event_id"], "ts", f"{DELAY_DAYS} days"), path, f"{path}-progress")
+    return d.spark.read.parquet(path)
+
+
+@query(
+    "t5_repeats_dropped_before_the_fold",
+    f"""WITH kept AS (SELECT event_id, user_id, event_type, ts FROM events)
+SELECT user_id, event_type, max(ts) AS ts, count(*) AS first_events, (max(struct_pack(s := ts, v := event_id))).v AS event_id FROM kept GROUP BY ALL""",
+)
+def _(d):
+    """Events delivered twice are folded to the newest per user and type, with the number of different ones stored."""
+    events = d.base("events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    landing, path = d.scratch("t5f-landing"), d.scratch("t5f")
+    for _delivery in range(2):
+        events.write.mode("append").parquet(landing)
+        stream = readers.file_stream(d.spark, landing, events.schema).drop("_source_file")
+        writers.append_stream(flows.without_repeats(stream, ["event_id"], "ts", f"{DELAY_DAYS} days"), path, f"{path}-progress")
+    kept, keys = d.spark.read.parquet(path), ["user_id", "event_type"]
+    counts = kept.groupBy(*keys).agg(F.count("*").alias("first_events"))
+    return cdc.fold_changes(kept, keys, "ts").join(counts, keys)

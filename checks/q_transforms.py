@@ -370,7 +370,7 @@ def _(d):
 @query(
     "d5_minutes_between",
     """SELECT tpep_pickup_datetime, tpep_dropoff_datetime,
-    floor((epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60 * 10.0 + 0.5) / 10.0 AS minutes FROM typed_trips""",
+    round((epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60, 1) AS minutes FROM typed_trips""",
 )
 def _(d):
     start, end = "tpep_pickup_datetime", "tpep_dropoff_datetime"

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from checks.domain import CHANGE_KEYS
 from checks.q_analytics import CENTS
 from checks.registry import mean, query, rounded, total
-from stratalake.functions.columns import EVENT_TYPES, same_keys
+from stratalake.functions.bitmaps import bitmaps, distinct_counts, merged
+from stratalake.functions.columns import EVENT_TYPES, hour_parts, same_keys
 from stratalake.functions.numeric import safe_ratio
 from stratalake.operators import scd2
 from stratalake.operators import transforms as t
@@ -14,6 +15,7 @@ from stratalake.operators.lookups import broadcast_if_small, left_chain, left_lo
 from stratalake.operators.quality import invalid_values, repeated_values
 from stratalake.plans.brands import brand_counts, purchase_totals
 from stratalake.plans.sales import customer_sales
+from stratalake.sources.catalog import save_table
 
 TRACKED = ["city", "email_address"]
 
@@ -60,6 +62,24 @@ def _(d):
     return _brand_chain(d, "merge")
 
 
+def _bucketed(d, name: str, keys: list[str]):
+    """A test table as a catalog table in eight buckets; its files lie in the scratch folder."""
+    path = d.scratch(f"catalog-{name}")
+    return save_table(d.base(name), f"{name}_{path.rsplit('-', 1)[1]}", path, 8, keys)
+
+
+@query(
+    "j9_bucketed_tables_without_shuffle",
+    """SELECT o_orderkey, o_orderstatus, count(l_orderkey) AS lines, max(l_linenumber) AS last_line
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus""",
+)
+def _(d):
+    """Two created tables are joined and grouped by the key that deals their buckets."""
+    orders, lines = _bucketed(d, "orders", ["o_orderkey"]), _bucketed(d, "lineitem", ["l_orderkey"])
+    joined = orders.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return joined.groupBy("o_orderkey", "o_orderstatus").agg(F.count("l_orderkey").alias("lines"), F.max("l_linenumber").alias("last_line"))
+
+
 ZONED = """SELECT t.*, z.Borough, z.Zone, z.service_zone FROM
     (SELECT PULocationID, count(*) AS trips FROM typed_trips GROUP BY PULocationID) t
 LEFT JOIN zone_file z ON t.PULocationID = z.LocationID"""
@@ -176,6 +196,31 @@ def _(d):
     )
 
 
+IDS = {"users": "user_id", "products": "product_id", "categories": "category_id"}
+
+
+@query(
+    "a8_distinct_counts_by_bitmaps",
+    """SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT product_id) AS products,
+    count(DISTINCT category_id) AS categories FROM silver_store GROUP BY event_type""",
+)
+def _(d):
+    return distinct_counts(bitmaps(d.store, ["event_type"], IDS), ["event_type"], list(IDS))
+
+
+@query(
+    "a8_bitmaps_of_hours_merged",
+    """SELECT year(event_time)::INT AS year, month(event_time)::INT AS month, day(event_time)::INT AS day, count(DISTINCT user_id) AS users,
+    count(DISTINCT product_id) AS products, count(DISTINCT category_id) AS categories FROM silver_store GROUP BY ALL""",
+)
+def _(d):
+    """Bitmaps are stored per hour; days are counted from them without the events."""
+    path, day = d.scratch("a8-hours"), ["year", "month", "day"]
+    events = d.store.withColumns(hour_parts(F.col("event_time")))
+    bitmaps(events, [*day, "hour"], IDS).write.parquet(path)
+    return distinct_counts(merged(d.spark.read.parquet(path), day), day, list(IDS))
+
+
 @query(
     "a9_rounded_aggregates",
     f"""SELECT DOLocationID, {rounded(total("fare_amount"), 2)} AS fare, {rounded(mean("trip_distance"), 1)} AS distance

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,29 +127,85 @@ CHECKS = {
 }
 
 
-def check_report(events: DataFrame, moment: datetime | None = None) -> DataFrame:
+def _bad_price() -> Column:
+    return F.col("price").isNull() | (F.col("price") <= 0)
+
+
+def _judged(values: DataFrame, *more: str) -> DataFrame:
+    severity = F.element_at(F.create_map(*[F.lit(x) for pair in CHECKS.items() for x in pair]), F.col("check_name"))
+    passed = F.when(F.col("check_name") == "row_count", F.col("value") > 0).otherwise(F.col("value") == 0)
+    return values.select(*more, "check_name", severity.alias("severity"), "value", passed.alias("passed"))
+
+
+def check_report(events: DataFrame, moment: datetime | None = None, checks: Sequence[str] = tuple(CHECKS)) -> DataFrame:
     """Rows ``(check_name, severity, value, passed)`` for an event table, or for one hour of it.
 
-    The hard checks on rows are one global aggregate. Invalid types and repeated sessions are branches
-    of their own, each over its one column, so that a filter on a check runs no other branch.
+    Only the named ``checks`` are in the plan. The checks on rows share one global aggregate; invalid types
+    and repeated sessions are branches of their own, each over its one column.
     """
     part = events if moment is None else in_hour(events, moment)
-    rows = part.agg(
-        F.count("*").alias("row_count"),
-        F.count_if(F.col("event_time").isNull()).alias("null_event_times"),
-        F.count_if(F.col("price").isNull() | (F.col("price") <= 0)).alias("bad_prices"),
+    of_rows = {"row_count": F.count("*"), "null_event_times": F.count_if(F.col("event_time").isNull()), "bad_prices": F.count_if(_bad_price())}
+    together = [c for c in checks if c in of_rows]
+    branches = []
+    if together:
+        counted = part.agg(*[of_rows[c].alias(c) for c in together])
+        branches.append(counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("check_name"), F.col(c).alias("value")) for c in together]))))
+    alone = {
+        "invalid_event_types": lambda: invalid_values(part, "event_type", EVENT_TYPES),
+        "duplicate_sessions": lambda: repeated_values(part, "user_session"),
+    }
+    branches += [alone[c]().agg(F.count("*").alias("value")).select(F.lit(c).alias("check_name"), "value") for c in checks if c in alone]
+    return _judged(reduce(DataFrame.unionByName, branches))
+
+
+PARTS = ("year", "month", "day", "hour")
+
+
+def hourly_report(events: DataFrame) -> DataFrame:
+    """The report of every hourly partition at once, with the invalid event types found in it.
+
+    Rows are pre-aggregated per hour; repeated sessions are counted per (hour, session) first, so one large hour
+    is spread over tasks. Only the different invalid values of an hour are listed.
+    """
+    hour = list(PARTS)
+    rows = events.groupBy(*hour).agg(F.count("*").alias("row_count"), F.count_if(F.col("event_time").isNull()).alias("null_event_times"), F.count_if(_bad_price()).alias("bad_prices"))
+    valid = F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
+    wrong = events.where(~valid).select(*hour, "event_type").distinct()
+    kinds = wrong.groupBy(*hour).agg(F.count("*").alias("invalid_event_types"), F.array_sort(F.collect_list("event_type")).alias("invalid_types"))
+    repeated = events.groupBy(*hour, "user_session").agg(F.count("*").alias("rows")).where("rows > 1")
+    sessions = repeated.groupBy(*hour).agg(F.count("*").alias("duplicate_sessions"))
+    known = rows.join(kinds, hour, "left").join(sessions, hour, "left").na.fill(0, ["invalid_event_types", "duplicate_sessions"])
+    listed = F.array(*[F.struct(F.lit(c).alias("check_name"), F.col(c).alias("value")) for c in CHECKS])
+    found = known.select(*hour, F.concat_ws(",", "invalid_types").alias("invalid_types"), F.inline(listed))
+    return _judged(found, *hour, "invalid_types")
+
+
+def first_failures(report: DataFrame) -> DataFrame:
+    """Per hour the first hard check that failed, in the order of `CHECKS`, or NULL; soft ones never stop an hour."""
+    place = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(CHECKS) for x in (c, i)]), F.col("check_name"))
+    failed = (F.col("severity") == "hard") & ~F.col("passed")
+    return report.groupBy(*PARTS).agg(F.min_by("check_name", F.when(failed, place)).alias("failed_check"), F.min(F.when(failed, place)).alias("_place")).select(
+        *PARTS, F.when(F.col("_place").isNotNull(), F.col("failed_check")).alias("failed_check")
     )
-    kinds = invalid_values(part, "event_type", EVENT_TYPES).agg(F.count("*").alias("invalid_event_types"))
-    sessions = repeated_values(part, "user_session").agg(F.count("*").alias("duplicate_sessions"))
 
-    def measured(values: DataFrame) -> DataFrame:
-        named = [F.struct(F.lit(c).alias("check_name"), F.col(c).alias("value")) for c in values.columns]
-        return values.select(F.inline(F.array(*named)))
 
-    report = measured(rows).unionByName(measured(kinds)).unionByName(measured(sessions))
-    severity = F.element_at(F.create_map(*[F.lit(x) for pair in CHECKS.items() for x in pair]), F.col("check_name"))
-    passed = F.when(F.col("check_name") == "row_count", F.col("value") > 0).otherwise(F.col("value") == 0)
-    return report.select("check_name", severity.alias("severity"), "value", passed.alias("passed"))
+def run_checks(events: DataFrame, moment: datetime) -> dict[str, int | list]:
+    """The checks of one hour one after the other: a hard one that fails stops the rest, repeated sessions are looked for last."""
+    part = in_hour(events, moment)
+    results: dict[str, int | list] = {}
+    for name, severity in CHECKS.items():
+        row = check_report(part, checks=[name]).first()
+        results[name] = row["value"]
+        if severity == "hard" and not row["passed"]:
+            if name == "invalid_event_types":
+                found = invalid_values(part, "event_type", EVENT_TYPES).limit(LISTED).collect()
+                results[name] = sorted((r[0] for r in found), key=str)
+            raise DataQualityError(f"check {name} failed in hour {moment:%Y-%m-%d %H}:00 with value {results[name]}")
+    return results
+
+
+#: Invalid values that an error message lists.
+LISTED = 20
 
 
 def enforce(report: DataFrame) -> dict[str, int]:

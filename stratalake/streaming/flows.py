@@ -9,7 +9,7 @@ does, commits nothing.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -42,6 +42,15 @@ def observed(staged: DataFrame, rules: Mapping[str, str], name: str = "rule_fail
     return staged.observe(name, F.count("*").alias("rows"), *rule_metrics(rules))
 
 
+def without_repeats(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+    """One row per key among rows that lie at most ``delay`` apart, and no row later than that.
+
+    Keys are remembered in the state store until the newest ``time`` seen is ``delay`` past them, so the state holds the keys of
+    that span, not of the whole stream; rows older than the watermark are dropped.
+    """
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def split_to_files(
     staged: DataFrame, clean_path: str, quarantine_path: str, checkpoint: str, flag: str = "is_quarantined"
 ) -> StreamingQuery:

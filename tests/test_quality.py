@@ -81,3 +81,43 @@ def test_soft_check_does_not_raise(frame):
 def test_first_hard_failure_is_raised(spark, rows, failed):
     with pytest.raises(q.DataQualityError, match=failed):
         q.enforce(q.check_report(spark.createDataFrame(rows, EVENT)))
+
+
+def test_a_report_of_one_check_runs_its_branch_only(spark):
+    from checks.domain import Domain
+    from stratalake.operators.quality import check_report
+    from stratalake.operators import transforms as t
+
+    events = t.conform(Domain(spark, "/root/testdata/sf0.001").view("ecommerce_store"), t.STORE_EVENTS)
+    plan = lambda name: check_report(events, checks=[name])._jdf.queryExecution().executedPlan().toString()
+    for name in ("row_count", "null_event_times", "bad_prices"):
+        text = plan(name)
+        assert text.count("FileScan") == 1 and "user_session" not in text and text.count("HashAggregate") == 2
+    assert plan("invalid_event_types").count("FileScan") == 1 and "user_session" not in plan("invalid_event_types")
+    assert "price" not in plan("duplicate_sessions")
+
+
+HOURLY = "year int, month int, day int, hour int, event_time timestamp, event_type string, price double, user_session string"
+
+
+def test_checks_of_one_hour_stop_at_the_first_hard_failure(spark, frame):
+    from datetime import datetime
+
+    from stratalake.operators.quality import first_failures, hourly_report, run_checks
+
+    at = datetime(2024, 1, 1)
+    events = frame(
+        HOURLY,
+        (2024, 1, 1, 0, at, "view", 1.0, "a"), (2024, 1, 1, 0, at, "view", 1.0, "a"),
+        (2024, 1, 1, 1, at, "swap", None, "b"), (2024, 1, 1, 1, at, None, 1.0, "b"), (2024, 1, 1, 1, at, "gift", 1.0, "c"),
+        (2024, 1, 1, 2, None, "gift", 0.0, "c"),
+        (2024, 1, 1, 3, at, "cart", 0.0, "c"),
+    )
+    assert run_checks(events, datetime(2024, 1, 1, 0)) == {"row_count": 2, "null_event_times": 0, "invalid_event_types": 0, "bad_prices": 0, "duplicate_sessions": 1}
+    for hour, message in ((1, r"invalid_event_types .*\[None, 'gift', 'swap'\]"), (2, "null_event_times"), (3, "bad_prices"), (4, "row_count")):
+        with pytest.raises(q.DataQualityError, match=message):
+            run_checks(events, datetime(2024, 1, 1, hour))
+    report = hourly_report(events)
+    assert {(r.hour, r.failed_check) for r in first_failures(report).collect()} == {(0, None), (1, "invalid_event_types"), (2, "null_event_times"), (3, "bad_prices")}
+    assert {(r.hour, r.invalid_types) for r in report.collect()} == {(0, ""), (1, "gift,swap"), (2, "gift"), (3, "")}
+    assert {r.value for r in report.where("hour = 1 AND check_name = 'invalid_event_types'").collect()} == {3}
