@@ -54,7 +54,7 @@ def item_words(items: DataFrame) -> DataFrame:
                 ids = batch.column(0).slice(w.first, w.rows)
                 yield pa.RecordBatch.from_arrays([ids, tx.lists(tx.signed(w.hash), w.bounds())], ["item_id", "words"])
 
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).mapInArrow(run, "item_id long, words array<long>")
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).mapInArrow(store.tidy(run), "item_id long, words array<long>")
     return rows.where(F.size("words") > 0).withColumn("uid", F.xxhash64("words"))
 
 
@@ -100,7 +100,7 @@ def count_terms(docs: DataFrame, terms: np.ndarray) -> DataFrame:
 
     if not len(terms):
         return docs.sparkSession.createDataFrame([], "term long, occurrences long")
-    return docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("occurrences"))
+    return docs.select("text").mapInArrow(store.tidy(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("occurrences"))
 
 
 def build_index(docs: DataFrame, terms: np.ndarray | None) -> DataFrame:
@@ -132,7 +132,7 @@ def build_index(docs: DataFrame, terms: np.ndarray | None) -> DataFrame:
                 )
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), store.text_key().alias("text_key"), F.col("text"))
-    return chosen.mapInArrow(run, "doc_id long, text_key long, n_words long, terms array<long>, positions array<array<int>>")
+    return chosen.mapInArrow(store.tidy(run), "doc_id long, text_key long, n_words long, terms array<long>, positions array<array<int>>")
 
 
 class Index:
@@ -248,7 +248,7 @@ class Index:
                 at = pa.array(ids, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(n_hit, pa.int64()), pa.array(runs, spans)], ["doc_id", "text_key", "n_hit", "runs"])
 
-        return joined.mapInArrow(run, "doc_id long, text_key long, n_hit long, runs array<struct<uid:long,low:int,high:int>>").where("n_hit > 0")
+        return joined.mapInArrow(store.tidy(run), "doc_id long, text_key long, n_hit long, runs array<struct<uid:long,low:int,high:int>>").where("n_hit > 0")
 
     def proximity_matches(self, slack: int = 5) -> DataFrame:
         """(doc_id, text_key, uid, at): windows whose rarest words all stand within ``window + slack`` words, in any order.

@@ -114,7 +114,7 @@ def frequent_tokens(docs: DataFrame) -> Order:
                 token, n = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(tx.signed(token)), pa.array(n)], ["token", "n"])
 
-    counted = sampled.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = sampled.select("text").mapInArrow(store.tidy(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     chosen = counted.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(LAST).collect()
     token = np.array([r["token"] for r in chosen], np.int64).view(np.uint64)
     order = np.argsort(token)
@@ -152,7 +152,7 @@ def sketch(docs: DataFrame, order: Order) -> DataFrame:
                 )
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), store.text_key().alias("text_key"), "text")
-    return chosen.mapInArrow(run, "row long, doc_id long, text_key long, n long, node long, bands array<long>, prefix array<long>")
+    return chosen.mapInArrow(store.tidy(run), "row long, doc_id long, text_key long, n long, node long, bands array<long>, prefix array<long>")
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 if names:
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["node", "tokens"])
 
-    made = docs.select("text").mapInArrow(run, "node long, tokens binary")
+    made = docs.select("text").mapInArrow(store.tidy(run), "node long, tokens binary")
     if asked is None:
         made = made.join(few, "node", "left_semi")
     return made.groupBy("node").agg(F.first("tokens").alias("tokens"))
@@ -202,7 +202,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     first = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     second = first.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-    return store.keep(second.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    return store.keep(second.select("a", "b", "x", "y").mapInArrow(store.tidy(run), "a long, b long"), "links")
 
 
 def leader_pairs(nodes: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def shared_tokens(nodes: DataFrame) -> DataFrame:
 
     short = F.col("place") < F.col("n") - F.ceil(F.col("n") * 2 * NUM / F.lit(float(NUM + DEN)) - F.lit(1e-9)) + 1
     rows = nodes.select(F.posexplode("prefix").alias("place", "token"), "node", "n").select("token", "node", short.alias("short"))
-    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long, short boolean")
+    return rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(store.tidy(run), "token long, node long, short boolean")
 
 
 def _overlap(n: Column, m: Column) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm import text as tx
+from stratalake.llm import store, text as tx
 
 DIMENSIONS = 512
 GRAM = 3
@@ -132,7 +132,7 @@ def _shared(dimensions: int, n: int) -> Vectors:
     return _vectors.setdefault((dimensions, n), Vectors(dimensions, n))
 
 
-def _parts(column, size: int = tx.SLICE) -> Iterator[tuple[int, int, list[str | None]]]:
+def _parts(column, size: int = 1 << 18) -> Iterator[tuple[int, int, list[str | None]]]:
     for a, b in tx.slices(tx.raw(column)[1], size):
         yield a, b, column.slice(a, b - a).to_pylist()
 
@@ -155,7 +155,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, n: int = GRAM) -> dict[
         yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "vector": pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))})
 
     chosen = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    parts = chosen.mapInArrow(run, "lang string, vector array<double>")
+    parts = chosen.mapInArrow(store.tidy(run), "lang string, vector array<double>")
     summed = parts.select("lang", F.posexplode("vector")).groupBy("lang", "pos").agg(F.sum("col").alias("value"))  # whole numbers: any order gives the same
     prototypes: dict[str, np.ndarray] = {}
     for r in summed.collect():
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str
             label = pa.array([*names, UNDETERMINED]).take(pa.array(found))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], label, pa.array(score)], [*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(store.tidy(run), schema)
 
 
 def language(docs: DataFrame, training: Column, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -79,7 +79,7 @@ def encode_pieces(docs: DataFrame, path: str, pattern: str, end_id: int, capacit
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out], names)
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return chosen.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return chosen.mapInArrow(store.tidy(run), schema + (", ids array<int>" if with_ids else ""))
 
 
 def _knapsack(weight: np.ndarray, count: np.ndarray, capacity: int) -> np.ndarray:
@@ -265,4 +265,4 @@ def pack(docs: DataFrame, path: str, pattern: str, end_id: int = 2, capacity: in
             sequence, offset = plan.place(length, rank)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
 
-    return ranked.select(*columns, "rank").mapInArrow(place, schema)
+    return ranked.select(*columns, "rank").mapInArrow(store.tidy(place), schema)

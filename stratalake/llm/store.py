@@ -7,10 +7,14 @@ recomputing what led to them.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,21 @@ def bounded(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for `mapInArrow`; when a task has ended, its worker gives freed memory back to the system.
+
+    Workers serve one stage after the other; without this each keeps the most that any of them has needed.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back."""
     path = folder(bounded(df.sparkSession), label)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from stratalake.llm import store
 from stratalake.llm.tokens import PieceCounts
 
 _models: dict[str, PieceCounts] = {}
@@ -41,4 +42,4 @@ def token_counts(docs: DataFrame, model_path: str, limit: int, text: str = "text
                 [*batch.columns[: len(kept)], size, n, pc.greater(n, limit)], [*kept, "n_bytes", "n_tokens", "over_limit"]
             )
 
-    return docs.select(*kept, docs[text].alias("__text")).mapInArrow(count, StructType([*fields, *made]))
+    return docs.select(*kept, docs[text].alias("__text")).mapInArrow(store.tidy(count), StructType([*fields, *made]))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm import text as tx
+from stratalake.llm import store, text as tx
 
 #: Labelled rows that insult words are learned from.
 SAMPLE = 20_000
@@ -180,7 +180,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         yield pa.RecordBatch.from_pydict({"feature": pa.array(keys, pa.string()), "pos": pa.array([found[1][k] for k in keys], pa.int64()), "neg": pa.array([found[0][k] for k in keys], pa.int64())})
 
     distinct = labelled.groupBy("text").agg(F.max("toxic").alias("toxic"))
-    counts = distinct.mapInArrow(run, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos > 0").persist()
+    counts = distinct.mapInArrow(store.tidy(run), "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos > 0").persist()
     try:
         total = counts.where("feature = ''").first()
         weights = dict.fromkeys(SEEDS, 4.0)
@@ -230,7 +230,7 @@ def score_texts(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...
                     clauses[row] = len(found)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(clauses)], [*keep, "score", "predicted", "n_clauses"])
 
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(store.tidy(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, training: Column, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
