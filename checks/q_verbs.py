@@ -321,6 +321,16 @@ def _(d):
     return scd2.intervals(d.changes.select(*CHANGE_KEYS, "changed_at").distinct(), CHANGE_KEYS, "changed_at")
 
 
+@query(
+    "w3_intervals_by_range",
+    """SELECT order_id, line_no, changed_at, changed_at AS effective_from, lead(changed_at) OVER w AS effective_to, lead(changed_at) OVER w IS NULL AS is_current
+FROM (SELECT DISTINCT order_id, line_no, changed_at FROM changes) WINDOW w AS (PARTITION BY order_id, line_no ORDER BY changed_at)""",
+)
+def _(d):
+    log = d.changes.select(*CHANGE_KEYS, "changed_at").distinct()
+    return scd2.intervals_by_range(log, CHANGE_KEYS, "changed_at", d.scratch("w3"))
+
+
 @query(
     "o1_order_descending",
     """SELECT franchiseID, CAST(sum(totalPrice) AS BIGINT) AS revenue FROM silver_transactions GROUP BY franchiseID

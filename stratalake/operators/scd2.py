@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.columns import all_of, any_of, same_keys
+from stratalake.operators.ranged import with_next
 
 VALIDITY = ("effective_from", "effective_to", "is_current")
 
@@ -145,6 +146,15 @@ def intervals(log: DataFrame, keys: Sequence[str], starts: str, grain: str = "da
     )
 
 
+def intervals_by_range(log: DataFrame, keys: Sequence[str], starts: str, path: str, tasks: int | None = None) -> DataFrame:
+    """The same intervals from rows dealt by ranges of (key, start), without a window: no task follows a key or a period.
+
+    ``path`` is a fresh folder that all executors can reach.
+    """
+    closed = with_next(log, keys, starts, "effective_to", path, tasks)
+    return closed.select(*log.columns, F.col(starts).alias("effective_from"), "effective_to", F.col("effective_to").isNull().alias("is_current"))
+
+
 def valid_at(history: DataFrame, moment: datetime | str) -> DataFrame:
     at = _moment(moment)
     return history.where(

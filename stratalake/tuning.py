@@ -6,8 +6,9 @@ import time
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from stratalake.sources.writers import discard
 
@@ -57,3 +58,11 @@ def compare(variants: dict[str, Callable[[], DataFrame]], rounds: int = 3) -> di
         for name in order:
             times[name].append(seconds(variants[name]))
     return times
+
+
+def observed_rows(observation: Observation, name: str) -> int:
+    """A count of an observation whose plan has run; 0 when the plan was found to be empty and its metrics with it."""
+    try:
+        return observation.get[name]
+    except (Py4JJavaError, KeyError):
+        return 0

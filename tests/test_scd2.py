@@ -1,3 +1,5 @@
+import pytest
+
 from datetime import datetime
 
 from hypothesis import HealthCheck, given, settings
@@ -105,3 +107,25 @@ def test_injected_change_copies_the_oldest_row(frame, bag):
     source = frame("k int, a string, _ingestion_timestamp timestamp", (1, "old", DAY[0]), (1, "new", DAY[1]), (2, "z", DAY[0]))
     change = inject_change(source, F.col("k") == 1, {"a": "BEST"}, DAY[5])
     assert bag(change) == [(1, "BEST", DAY[5])]
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_intervals_by_range_equal_the_window_and_spread_a_hot_key(spark, tmp_path, bag, batch):
+    import random
+    from datetime import datetime, timedelta
+
+    rng = random.Random(batch)
+    keys = [("hot", 1)] * 5 + [("a", 1), ("a", None), (None, 1), (None, None), ("", 2)]
+    rows = {(*rng.choice(keys), datetime(2024, 1, 1) + timedelta(hours=rng.randint(0, 4000))) for _ in range(900)}
+    log = spark.createDataFrame(sorted(rows, key=repr), "k string, j int, at timestamp").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        path = str(tmp_path / "ranged")
+        found = scd2.intervals_by_range(log, ["k", "j"], "at", path, tasks=6)
+        assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+        assert bag(found) == bag(scd2.intervals(log, ["k", "j"], "at").select(*found.columns))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert spark.read.parquet(path).where("k = 'hot'").select("_task").distinct().count() >= 3
+    empty = scd2.intervals_by_range(log.limit(0), ["k", "j"], "at", str(tmp_path / "none"))
+    assert empty.count() == 0
