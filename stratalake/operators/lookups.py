@@ -8,16 +8,21 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only for a dimension counted to be small.
+def size_bound(df: DataFrame) -> int:
+    """Bytes of a frame as the optimizer bounds them from its files; nothing is run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    A larger one comes back without a hint: Spark then joins by shuffle, with AQE skew handling.
-    The count is a distributed aggregate; over Parquet without filters it reads footers only.
+
+def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only for a dimension whose bound is small; no job is run while the plan is made.
+
+    A larger one comes back without a hint: Spark then joins by shuffle, with AQE skew handling, and still
+    broadcasts a side that it measures to be small.
     """
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+    return F.broadcast(dim) if size_bound(dim) <= max_bytes else dim
 
 
 def left_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:

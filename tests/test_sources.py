@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.functions.columns import hour_parts
-from stratalake.operators.lookups import broadcast_if_small, left_lookup
+from stratalake.operators.lookups import broadcast_if_small, left_lookup, size_bound
 from stratalake.sources import readers, writers
 from stratalake.tuning import cached, compare, settings, shuffle_partitions
 
@@ -50,15 +50,18 @@ def test_missing_table_and_folder(spark, tmp_path):
     assert readers.folder_exists(spark, str(tmp_path / "some"))
 
 
-def test_broadcast_only_within_the_bound(frame):
-    dim = frame("id int, name string", (1, "a"), (2, "b"), (3, "c"))
+def test_broadcast_only_within_the_bound(spark, frame, tmp_path):
+    unbounded = frame("id int, name string", (1, "a"), (2, "b"), (3, "c"))
+    unbounded.write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
     facts = frame("fk int", (1,), (9,))
 
     def plan(df):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
-    assert "strategy=broadcast" in plan(left_lookup(facts, broadcast_if_small(dim, 3), "fk", "id"))
-    assert "strategy=broadcast" not in plan(left_lookup(facts, broadcast_if_small(dim, 2), "fk", "id"))
+    assert "strategy=broadcast" in plan(left_lookup(facts, broadcast_if_small(dim), "fk", "id"))
+    assert "strategy=broadcast" not in plan(left_lookup(facts, broadcast_if_small(dim, size_bound(dim) - 1), "fk", "id"))
+    assert "strategy=broadcast" not in plan(left_lookup(facts, broadcast_if_small(unbounded), "fk", "id"))
 
 
 def test_settings_are_restored(spark):
