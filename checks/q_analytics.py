@@ -1,5 +1,7 @@
 """Named analytics (G1-G13)."""
 
+from pyspark.sql import functions as F
+
 from checks.domain import AS_OF
 from checks.registry import mean, query, rounded, total
 from stratalake.functions.numeric import Fixed
@@ -34,7 +36,7 @@ def _(d):
     return customer_sales_summary(d.customers, d.transactions, AS_OF, unique_transactions=True, math=CENTS)
 
 
-def _silver_shop(d):
+def silver_shop(d):
     store = d.store
     return {
         "brands": latest_per_key(t.extract_brands(store), ["brand"], tie_break=["_source_file", "_batch_id", "_is_deleted"]),
@@ -59,14 +61,14 @@ def _brand_measures(brand_join: str) -> str:
     {brand_join}"""
 
 
-@query(
-    "g2_brand_analysis",
-    f"""SELECT m.*, {rounded("num_purchases * 1.0::DOUBLE / nullif(num_carts, 0) * 100", 2)} AS conversion_rate,
+BRAND_SQL = f"""SELECT m.*, {rounded("num_purchases * 1.0::DOUBLE / nullif(num_carts, 0) * 100", 2)} AS conversion_rate,
     {rounded("num_carts * 1.0::DOUBLE / nullif(num_views, 0) * 100", 2)} AS cart_abandon_rate
-FROM ({_brand_measures("WHERE p.brand IS NOT NULL")}) m""",
-)
+FROM ({_brand_measures("WHERE p.brand IS NOT NULL")}) m"""
+
+
+@query("g2_brand_analysis", BRAND_SQL)
 def _(d):
-    return b.brand_analysis(**_silver_shop(d), math=CENTS)
+    return b.brand_analysis(**silver_shop(d), math=CENTS)
 
 
 JOB_SQL = f"""SELECT m.*, {rounded("num_purchases * 1.0::DOUBLE / num_views * 100", 2)} AS conversion_rate,
@@ -152,9 +154,7 @@ for _report, _sql in {
     _register_tuned(_report, _sql)
 
 
-@query(
-    "g11_revenue_by_borough",
-    f"""
+BOROUGH_SQL = f"""
 SELECT z.borough AS pickup_borough, z.service_zone, count(*) AS total_trips, {rounded(total("fare_amount"), 2)} AS total_fare_revenue,
     {rounded(mean("fare_amount"), 2)} AS avg_fare, {rounded(total("tip_amount"), 2)} AS total_tips, {rounded(mean("tip_amount"), 2)} AS avg_tip,
     {rounded(f"{total('tip_amount')} / nullif({total('fare_amount')}, 0) * 100", 2)} AS tip_rate_pct,
@@ -162,8 +162,10 @@ SELECT z.borough AS pickup_borough, z.service_zone, count(*) AS total_trips, {ro
     {rounded("avg(passenger_count)", 1)} AS avg_passenger_count,
     {rounded("count(*) FILTER (WHERE payment_type = 1) * 1.0::DOUBLE / count(*) * 100", 1)} AS credit_card_pct
 FROM clean_trips LEFT JOIN zones z ON PULocationID = z.location_id
-WHERE z.borough IS NOT NULL GROUP BY 1, 2 ORDER BY total_revenue DESC""",
-)
+WHERE z.borough IS NOT NULL GROUP BY 1, 2 ORDER BY total_revenue DESC"""
+
+
+@query("g11_revenue_by_borough", BOROUGH_SQL)
 def _(d):
     return tr.revenue_by_borough(d.clean_trips, d.zones, CENTS)
 
@@ -171,23 +173,21 @@ def _(d):
 MINUTES = rounded("(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60", 1)
 
 
-@query(
-    "g12_trip_time_patterns",
-    f"""
+PATTERN_SQL = f"""
 SELECT hour(tpep_pickup_datetime)::INT AS pickup_hour, (dayofweek(tpep_pickup_datetime) + 1)::INT AS pickup_dayofweek,
     dayname(tpep_pickup_datetime) AS pickup_dayname, month(tpep_pickup_datetime)::INT AS pickup_month, count(*) AS total_trips,
     {rounded(mean("total_amount"), 2)} AS avg_total_amount, {rounded(mean("duration"), 1)} AS avg_duration_minutes,
     {rounded(mean("trip_distance"), 2)} AS avg_distance_miles, {rounded("avg(passenger_count)", 1)} AS avg_passengers,
     count(*) FILTER (WHERE RatecodeID IN (2, 3)) AS airport_trips
-FROM (SELECT *, {MINUTES} AS duration FROM clean_trips) GROUP BY 1, 2, 3, 4 ORDER BY 4, 2, 1""",
-)
+FROM (SELECT *, {MINUTES} AS duration FROM clean_trips) GROUP BY 1, 2, 3, 4 ORDER BY 4, 2, 1"""
+
+
+@query("g12_trip_time_patterns", PATTERN_SQL)
 def _(d):
     return tr.trip_time_patterns(d.clean_trips, CENTS)
 
 
-@query(
-    "g13_trip_summary",
-    f"""
+ROUTE_SQL = f"""
 SELECT * FROM (
     SELECT p.borough AS pickup_borough, p.zone AS pickup_zone, q.borough AS dropoff_borough, q.zone AS dropoff_zone,
         month(tpep_pickup_datetime)::INT AS pickup_month, hour(tpep_pickup_datetime)::INT AS pickup_hour,
@@ -202,8 +202,10 @@ SELECT * FROM (
     FROM (SELECT *, {MINUTES} AS duration FROM clean_trips)
     LEFT JOIN zones p ON PULocationID = p.location_id LEFT JOIN zones q ON DOLocationID = q.location_id
     GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9)
-WHERE pickup_borough IS NOT NULL AND total_trips >= 5""",
-)
+WHERE pickup_borough IS NOT NULL AND total_trips >= 5"""
+
+
+@query("g13_trip_summary", ROUTE_SQL)
 def _(d):
     return tr.trip_summary(d.clean_trips, d.zones, math=CENTS)
 
@@ -215,3 +217,33 @@ def _(d):
     with settings(d.spark, {"spark.sql.shuffle.partitions": "8"}), cached(d.store) as store:
         b.brand_job(store, CENTS).write.parquet(path)
     return d.spark.read.parquet(path)
+
+
+# Amounts in quarters have exact double sums, so ordinary double arithmetic gives the same bits in any order.
+_QUARTERS = ("trip_distance", "fare_amount", "tip_amount", "total_amount")
+
+
+def _in_quarters(d):
+    return d.trips.withColumns({c: F.floor(F.col(c) * 4) / 4.0 for c in _QUARTERS})
+
+
+QUARTERS_SQL = "(SELECT * REPLACE (" + ", ".join(f"floor({c} * 4) / 4.0::DOUBLE AS {c}" for c in _QUARTERS) + ") FROM typed_trips)"
+
+
+@query(
+    "g9_plain_doubles",
+    f"""SELECT VendorID, count(*) AS num_trips, avg(total_amount) AS avg_fare, avg(tip_amount) AS avg_tip, avg(trip_distance) AS avg_distance
+FROM {QUARTERS_SQL} GROUP BY VendorID""",
+)
+def _(d):
+    """The default arithmetic of the vendor report."""
+    return tr.vendor_stats(_in_quarters(d))
+
+
+@query(
+    "g1_plain_doubles",
+    SUMMARY_SQL.replace(rounded("avg(totalPrice)", 2), "round(avg(totalPrice), 2)"),
+)
+def _(d):
+    """The default arithmetic of the customer summary: whole prices, averages rounded by the engine."""
+    return customer_sales_summary(d.customers, d.transactions, AS_OF)

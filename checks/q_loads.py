@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from checks.domain import AS_OF, CHANGE_KEYS
-from checks.q_analytics import CENTS, SUMMARY_SQL
+from checks.q_analytics import BOROUGH_SQL, BRAND_SQL, CENTS, PATTERN_SQL, ROUTE_SQL, SUMMARY_SQL, silver_shop
 from checks.q_transforms import HOUR_SQL, hourly_store
 from checks.registry import query
 from stratalake.functions.columns import hour_parts
@@ -14,10 +14,11 @@ from stratalake.operators import merge as m
 from stratalake.operators import scd2
 from stratalake.operators import transforms as t
 from stratalake.operators.dedup import latest_per_key, latest_per_key_sql
+from stratalake.plans.brands import brand_analysis
 from stratalake.plans.gold import SalesSummary
 from stratalake.plans.layers import CUSTOMER_HISTORY, SALES_LOADS, STORE_LOADS, USER_HISTORY, Lakehouse
 from stratalake.plans.sales import customer_sales_summary
-from stratalake.plans.trips import vendor_stats
+from stratalake.plans.trips import revenue_by_borough, trip_summary, trip_time_patterns, vendor_stats
 from stratalake.sources import readers, writers
 from stratalake.sources.catalog import save_table
 from stratalake.sources.snapshots import SnapshotTable
@@ -39,6 +40,14 @@ def _(d):
     return readers.json_as_text(d.spark, path)
 
 
+@query("s1_json_declared_columns", "SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, NULL::VARCHAR AS clerk, o_totalprice::BIGINT::VARCHAR AS price FROM orders")
+def _(d):
+    """Read in one pass; a column that no file has is NULL."""
+    path = d.scratch("s1d")
+    d.base("orders").select("o_orderkey", "o_orderstatus", F.expr("cast(bround(o_totalprice) as bigint)").alias("price")).write.json(path)
+    return readers.json_as_text(d.spark, path, ["o_orderkey", "o_orderstatus", "clerk", "price"])
+
+
 @query("s2_csv_as_text", "SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, o_orderpriority FROM orders")
 def _(d):
     path = d.scratch("s2")
@@ -377,6 +386,28 @@ def _(d):
     return inc.select_slice(d.store, d.store, "2024-01-02", "2024-01-04")
 
 
+@query(
+    "i3_backfill_load",
+    """WITH loaded AS (SELECT * FROM silver_store WHERE event_type = 'view'),
+again AS (SELECT * REPLACE ('again' AS category_code) FROM silver_store WHERE _ingestion_timestamp > TIMESTAMP '2024-01-02' AND _ingestion_timestamp < TIMESTAMP '2024-01-04'),
+latest AS (SELECT user_id, user_session, event_type, event_time, max(_ingestion_timestamp) AS t FROM again GROUP BY ALL)
+SELECT user_id, user_session, event_type, event_time, any_value(kind) AS kind FROM (
+    SELECT user_id, user_session, event_type, event_time, 'again' AS kind FROM latest
+    UNION ALL SELECT user_id, user_session, event_type, event_time, 'loaded' FROM loaded l WHERE NOT EXISTS (SELECT 1 FROM latest a
+        WHERE a.user_id = l.user_id AND a.user_session = l.user_session AND a.event_type = l.event_type AND a.event_time = l.event_time)) GROUP BY ALL""",
+)
+def _(d):
+    """Views are loaded; then all events of two days come again, corrected, through the bounded load of the same job."""
+    house, job = Lakehouse(d.spark, d.scratch("i3b"), buckets=4), STORE_LOADS[0]
+    bronze, events = house.table("bronze.ecommerce_store"), _timed(d, "ecommerce_store").withColumn("_is_deleted", F.lit(False))
+    bronze.append(events.where("event_type = 'view'"), DAYS[0])
+    house.load(job, as_of=DAYS[0], validate_first=True)
+    bronze.append(events.withColumn("category_code", F.lit("z again")), DAYS[1])  # greater text wins a tie
+    house.load(job, "2024-01-02", "2024-01-04", as_of=DAYS[1], validate_first=True)
+    kind = F.when(F.col("category_code") == "z again", "again").otherwise("loaded")
+    return house.source(job.target).select("user_id", "user_session", "event_type", "event_time", kind.alias("kind"))
+
+
 @query("i4_first_run_loads_all", "SELECT * FROM silver_store")
 def _(d):
     return inc.select_slice(d.store, None)
@@ -521,6 +552,31 @@ def _(d):
     return house.source("gold.customer_sales_summary")
 
 
+@query("i10_brand_analysis_refresh", BRAND_SQL)
+def _(d):
+    """Brand analysis merged by brand: first from the views, carts and purchases of some brands, then from all."""
+    house, shop = Lakehouse(d.spark, d.scratch("i10b"), buckets=4), silver_shop(d)
+    some = {name: rows.where("brand LIKE 's%'") for name, rows in shop.items()}
+    for n, tables in enumerate((some, shop)):
+        house.refresh("gold.brand_analysis", ["brand"], lambda t=tables: brand_analysis(**t, math=CENTS), DAYS[n])
+    return house.source("gold.brand_analysis")
+
+
+def _register_report(name: str, sql: str, build) -> None:
+    @query(f"k11_{name}_materialized", sql)
+    def _(d):
+        """Replaced as a whole: the first version holds one vendor's trips only."""
+        house = Lakehouse(d.spark, d.scratch(f"k11-{name}"))
+        for n, trips in enumerate((d.clean_trips.where("VendorID = 1"), d.clean_trips)):
+            house.materialize(f"gold.{name}", lambda rows=trips: build(rows, d.zones), DAYS[n])
+        return house.source(f"gold.{name}")
+
+
+_register_report("revenue_by_borough", BOROUGH_SQL, lambda t, z: revenue_by_borough(t, z, CENTS))
+_register_report("trip_time_patterns", PATTERN_SQL, lambda t, z: trip_time_patterns(t, CENTS))
+_register_report("trip_summary", ROUTE_SQL, lambda t, z: trip_summary(t, z, math=CENTS))
+
+
 # -- type 2 history ---------------------------------------------------------------------------
 
 DIFFERS = "(s.city IS DISTINCT FROM t.city OR s.email_address IS DISTINCT FROM t.email_address)"
@@ -613,6 +669,29 @@ def _(d):
     )
 
 
+@query(
+    "x7_user_history_of_changes",
+    f"""WITH u AS (SELECT DISTINCT user_id FROM silver_store)
+SELECT user_id, FALSE AS renamed, TIMESTAMP '{DAYS[0]}' AS effective_from, CASE WHEN user_id % 3 = 0 THEN TIMESTAMP '{DAYS[1]}' END AS effective_to, user_id % 3 <> 0 AS is_current FROM u
+UNION ALL SELECT user_id, TRUE, TIMESTAMP '{DAYS[1]}', NULL, TRUE FROM u WHERE user_id % 3 = 0""",
+)
+def _(d):
+    """Every third user comes with another name in the second delivery: the old version ends where the new one begins."""
+    house, store = Lakehouse(d.spark, d.scratch("x7c"), buckets=4), d.store
+    events = house.table("silver.ecommerce_store")
+    events.append(store, DAYS[0])
+    house.load(USER_HISTORY, as_of=DAYS[0])
+    events.append(store.withColumn("_ingestion_timestamp", F.lit("2024-02-10").cast("timestamp")), DAYS[1])
+
+    def renamed(rows):
+        changes = F.when(F.col("user_id") % 3 == 0, F.lit("Renamed")).otherwise(F.col("last_name"))
+        return t.enrich_users(rows).withColumn("last_name", changes)
+
+    house.load(USER_HISTORY, as_of=DAYS[1], transform=renamed)
+    name = (F.col("last_name") == "Renamed").alias("renamed")
+    return house.source(USER_HISTORY.target).select("user_id", name, "effective_from", "effective_to", "is_current")
+
+
 @query(
     "x8_inject_change",
     """SELECT * FROM silver_transactions UNION ALL SELECT * EXCLUDE (rn) REPLACE ('gift' AS product, TIMESTAMP '2024-02-10' AS _ingestion_timestamp)

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratalake.operators.quality import in_hour
 
@@ -23,13 +23,24 @@ class MissingSourceError(LookupError):
     """A source table or folder is absent."""
 
 
-def json_as_text(spark: SparkSession, path: str) -> DataFrame:
-    """JSON folder with every scalar kept as text."""
-    return spark.read.option("primitivesAsString", "true").json(path)
+def texts(columns: Sequence[str]) -> StructType:
+    return StructType([StructField(c, StringType()) for c in columns])
 
 
-def csv_as_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", "true").csv(path)
+def json_as_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """JSON folder with every scalar kept as text.
+
+    Without ``columns`` a first pass over all files finds them; with them the files are read once, and columns
+    that a file lacks are NULL.
+    """
+    reader = spark.read.option("primitivesAsString", "true")
+    return (reader.schema(texts(columns)) if columns else reader).json(path)
+
+
+def csv_as_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """CSV folder as text; declared ``columns`` must be those of the files, in their order."""
+    reader = spark.read.option("header", "true")
+    return (reader.schema(texts(columns)).option("enforceSchema", "false") if columns else reader).csv(path)
 
 
 def csv_declared(spark: SparkSession, path: str, schema: str | StructType = EVENT_FILE) -> DataFrame:

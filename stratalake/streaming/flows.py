@@ -21,6 +21,7 @@ from stratalake.operators.cdc import fold_cells, from_cells, merge_cells, to_cel
 from stratalake.operators.quality import flag_rows, rule_metrics
 from stratalake.operators.transforms import type_trips
 from stratalake.sources.snapshots import SnapshotTable
+from stratalake.tuning import cached
 
 # Key of a trip.
 TRIP_KEYS = ("tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "fare_amount")
@@ -97,14 +98,9 @@ def fold_into(
                 return
             if not target.exists():
                 target.overwrite(folded.limit(0), operation="create")
-            elif not _news(target.touched_by(folded), folded, keys):
-                return
-            target.merge(
-                folded,
-                lambda state, cells: merge_cells(state, cells, keys),
-                operation="fold",
-                streams={stream_id: batch_id},
-            )
+            with cached(target.touched_by(folded)) as stored:  # read once: for the question and for the merge
+                if _news(stored, folded, keys) or not target.version():
+                    target.merge(folded, lambda _, cells: merge_cells(stored, cells, keys), operation="fold", streams={stream_id: batch_id})
         finally:
             folded.unpersist()
 
@@ -124,9 +120,10 @@ def run_name(spark: SparkSession, checkpoint: str) -> str:
 
 
 def _news(state: DataFrame, folded: DataFrame, keys: list[str]) -> bool:
-    """Whether a folded batch changes a key of the stored state."""
-    hits = merge_cells(state.join(folded.select(*keys), keys, "left_semi"), folded, keys)
-    return not hits.select(*sorted(hits.columns)).exceptAll(_like(state, hits)).isEmpty()
+    """Whether a folded batch changes a key of the stored state; only keys of the batch are compared."""
+    known = state.join(folded.select(*keys), keys, "left_semi")
+    hits = merge_cells(known, folded, keys)
+    return not hits.select(*sorted(hits.columns)).exceptAll(_like(known, hits)).isEmpty()
 
 
 def _like(state: DataFrame, wanted: DataFrame) -> DataFrame:
