@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stratalake.llm import html_main, licenses
@@ -137,3 +138,19 @@ def test_base_places_equal_brute_force(spark, docs):
     assert got == sorted(wanted, key=repr)
     assert all(set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1 for r in found)
     assert licenses.scan(docs((1, "x")).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        ('<article class="post related-topic"><p>Body</p></article>', "Body"),
+        ('<article id="ad-12 open-comments"><p>Body</p></article>', "Body"),
+        ('<article class="post"><p>Body</p><article class="comment"><p>First!</p></article></article>', "Body"),
+        ('<main><p>Body</p><article class="promo"><p>Buy</p></article></main>', "Body"),
+        ('<article><p>Body</p><div class="related-topic"><p>More</p></div></article>', "Body"),
+    ],
+)
+def test_only_whole_names_take_an_article_away(page, kept):
+    from stratalake.llm.html_main import blocks_of
+
+    assert [b.text for b in blocks_of(page)] == [kept]
