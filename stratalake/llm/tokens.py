@@ -16,10 +16,10 @@ import regex
 
 from stratalake.llm import text as tx
 
-MEMO = 500_000
+MEMO = 1_000_000
 SLICE = 2 << 20
 #: Pre-tokens remembered with their ids.
-WORDS = 100_000
+WORDS = 200_000
 BATCH_BYTES = 1 << 18
 
 #: Second-last and last bytes of UTF-8 white space, taken loosely: more places count as unsafe than are.
