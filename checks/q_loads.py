@@ -636,7 +636,7 @@ def _(d):
 @query(
     "x7_incremental_history_load",
     """WITH changed AS (
-    SELECT * REPLACE ('THE BEST NAME' AS first_name, TIMESTAMP '2024-02-10' AS _ingestion_timestamp) FROM silver_customers WHERE customerID = 20)
+    SELECT * REPLACE ('Ottoline' AS first_name, TIMESTAMP '2024-02-10' AS _ingestion_timestamp) FROM silver_customers WHERE customerID = 20)
 SELECT *, TIMESTAMP '2024-03-01' AS effective_from,
     CASE WHEN customerID = 20 THEN TIMESTAMP '2024-03-02' END AS effective_to, customerID <> 20 AS is_current FROM silver_customers
 UNION ALL SELECT *, TIMESTAMP '2024-03-02', CAST(NULL AS TIMESTAMP), TRUE FROM changed""",
@@ -645,7 +645,7 @@ def _(d):
     house = Lakehouse(d.spark, d.scratch("x7"), buckets=4)
     house.table("bronze.sales_customers").append(_timed(d, "sales_customers"), DAYS[0])
     house.load(CUSTOMER_HISTORY, as_of=DAYS[0])
-    house.inject("bronze.sales_customers", F.col("customerID") == "20", {"first_name": "THE BEST NAME"}, datetime(2024, 2, 10))
+    house.inject("bronze.sales_customers", F.col("customerID") == "20", {"first_name": "Ottoline"}, datetime(2024, 2, 10))
     house.load(CUSTOMER_HISTORY, as_of=DAYS[1])
     return house.source(CUSTOMER_HISTORY.target)
 

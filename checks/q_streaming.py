@@ -159,7 +159,7 @@ def _(d):
     """Newer rows arrive first, the older ones in a later run."""
     table, landing = _change_table(d, "t8"), d.scratch("t8-landing")
     for part in ("changed_at >= '1999-01-01'", "changed_at < '1999-01-01'"):
-        d.changes.where(part).coalesce(1).write.mode("append").parquet(landing)
+        d.changes.where(part).write.mode("append").parquet(landing)
         flows.fold_into(_change_stream(d, landing), table, "changed_at", f"{table.path}-progress", "changes")
     return flows.current_rows(table)
 

@@ -32,7 +32,7 @@ ROWS = {
         event_time="2019-10-01 00:00:00 UTC", event_type="purchase", product_id="qwertyuiop", category_id="7", category_code="a.b",
         brand="apple", price="2", user_id="10", user_session="s-1",
     ),
-    "brands": dict(brand="Leobit", brand_tier="premium"),
+    "brands": dict(brand="Quillmere", brand_tier="premium"),
 }
 PREPARE = {
     "customers": t.prepare_sales_customers,
@@ -104,7 +104,7 @@ def test_surplus_column_is_not_kept(prepared, kind, columns):
     assert "extra_col" not in result.columns and len(result.columns) == columns
 
 
-@pytest.mark.parametrize("brand, tier", [("apple", "premium"), ("sony", "mid"), ("Leobit", "other")])
+@pytest.mark.parametrize("brand, tier", [("apple", "premium"), ("sony", "mid"), ("Quillmere", "other")])
 def test_brand_tier_is_computed(prepared, brand, tier):
     assert prepared("brands", {"brand": brand}).first()["brand_tier"] == tier
 
