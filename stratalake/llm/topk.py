@@ -9,7 +9,7 @@ smallest ids as are still needed. A block reports no part below its own k-th bes
 than are needed, so a vector that a third of all rows has costs a block no more than any other.
 
 Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows without an
-id. Vectors are compared with those of the same dimension. Rows with the id of a query are its own;
+id, nor finite vectors so long (beyond 2^30.5 in whole units) that a score might leave a long. Vectors are compared with those of the same dimension. Rows with the id of a query are its own;
 repeated query rows give repeated results. Empty tables give no rows.
 """
 
@@ -29,6 +29,8 @@ from stratalake.llm import store
 
 BINS = 1024
 QUERY_ROWS, CANDIDATE_ROWS = 256, 2048
+#: Squared length, in whole units, from which on a vector takes no part.
+MOST = 1 << 61
 #: Query blocks that meet a candidate block in one task.
 TOGETHER = 8
 
@@ -37,7 +39,9 @@ def whole_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
     """(vec_id, v): floor(scale * x) of every component of the vectors that take part."""
     x = "transform(embedding, x -> cast(x as double))"
     good = f"vec_id is not null and size(embedding) > 0 and forall({x}, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
-    return vectors.where(good).select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(f"transform({x}, x -> floor({scale}D * x))").alias("v"))
+    # by Cauchy and Schwarz no score of two such vectors leaves 61 bits; flooring adds at most one to a component
+    fits = f"pow(sqrt(aggregate({x}, 0D, (s, x) -> s + pow({scale}D * x, 2))) + sqrt(size(embedding)), 2) < {float(MOST)!r}D"
+    return vectors.where(good).where(fits).select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(f"transform({x}, x -> floor({scale}D * x))").alias("v"))
 
 
 def _blocks(vectors: DataFrame, rows: int) -> DataFrame:
@@ -125,10 +129,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) ->
     )
     pairs = store.keep(pairs, "block-pairs")
     sides = candidates.withColumnRenamed("block", "candidate").join(pairs.select("candidate", "together").distinct(), "candidate")
-    largest = whole.select(F.max(F.expr("array_max(transform(v, x -> abs(x)))")).alias("m"), F.max(F.size("v")).alias("d")).first()
-    if largest["m"] is None:
+    longest = whole.select(F.max(F.expr("aggregate(v, 0D, (s, x) -> s + pow(cast(x as double), 2))"))).first()[0]
+    if longest is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    reach = int(largest["m"]) ** 2 * int(largest["d"])
+    reach = int(longest * (1 + 1e-9)) + 1  # no score lies further from 0 than the longest vector's own
     low, bits = -reach, max(1, (2 * reach + 1).bit_length())
 
     def meet(state: DataFrame, run, schema: str) -> DataFrame:

@@ -219,3 +219,18 @@ def test_proximity_finds_words_in_any_order(spark, docs):
     items = spark.createDataFrame([(1, "red green blue")], "item_id long, text string")
     index = dc.Index(docs((1, "blue x red y green"), (2, "blue " + "x " * 50 + "red green"), (3, "red green")), items, window=3)
     assert [r.doc_id for r in index.proximity_matches(slack=3).collect()] == [1]
+
+
+def test_top_k_of_very_long_vectors(spark):
+    """Up to the limit scores are exact; beyond it a vector takes no part."""
+    from stratalake.llm import topk
+
+    rows = [(0, [1e7, 0.0]), (1, [1.0, 1.0]), (2, [-1e7, 3.0]), (3, [1e9, 1.0]), (4, [1e17, -1e17]), (5, [1.7e308, 1.7e308]), (6, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, F.col("vec_id").isin(0, 2, 4), k=3)
+    whole = {i: [int(64 * x // 1) for x in v] for i, v in rows if i in (0, 1, 2, 6)}
+    want = []
+    for q in (0, 2):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    assert sorted(tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
