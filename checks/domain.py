@@ -252,7 +252,7 @@ class Domain:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return flag_rows(self.trips, RULES, CHECKED_AT)
+        return flag_rows(t.computed_once(self.trips), RULES, CHECKED_AT)
 
     @cached_property
     def clean_trips(self) -> DataFrame:

@@ -143,6 +143,15 @@ def type_trips(df: DataFrame) -> DataFrame:
     return retype(df, TRIP_TYPES)
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, whose columns are computed before any filter on them.
+
+    Otherwise a filter repeats the derivation of a column as often as it names it; one of many rules on derived columns then
+    grows beyond what the JVM compiles, and every row is interpreted.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def zone_dimension(df: DataFrame) -> DataFrame:
     """Lookup file columns under the names used in joins."""
     return df.select(
