@@ -15,12 +15,15 @@ Rows of one key with one sequence value are decided by their values, the same in
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEQ = "_seq"
 ROW_CELL = "cell"
+STORED, NEWS = "_stored", "_news"
 
 
 def to_cells(
@@ -55,6 +58,19 @@ def merge_cells(state: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
     return fold_cells(state.unionByName(incoming, allowMissingColumns=True), keys)
 
 
+def merge_news(state: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`merge_cells` of folded cells, with a column `NEWS`: whether ``incoming`` brings the key something the state lacks.
+
+    A key that holds a NULL matches nothing stored, so it is always news.
+    """
+    both = state.withColumn(STORED, F.lit(True)).unionByName(incoming.withColumn(STORED, F.lit(False)), allowMissingColumns=True)
+    cells = [c for c in both.columns if c not in (*keys, STORED)]
+    unequal = [~F.max(c).eqNullSafe(F.max(F.when(F.col(STORED), F.col(c)))) for c in cells]
+    arrived = F.bool_or(~F.col(STORED))
+    news = reduce(or_, unequal, F.bool_and(~F.col(STORED)) | reduce(or_, [F.col(k).isNull() for k in keys], F.lit(False)) & arrived)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cells], news.alias(NEWS))
+
+
 def from_cells(state: DataFrame, keys: Sequence[str], ignore_nulls: bool = False) -> DataFrame:
     """The current rows of a folded table."""
     if ignore_nulls:

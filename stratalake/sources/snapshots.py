@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -316,7 +317,8 @@ class SnapshotTable:
         return self._load(before, agreed._buckets_of(agreed._typed(source, before)))
 
     def _typed(self, source: DataFrame, state: State) -> DataFrame:
-        return source.withColumns({k: F.col(k).cast(state.schema[k].dataType) for k in self.keys})
+        other = [k for k in self.keys if source.schema[k].dataType != state.schema[k].dataType]
+        return source.withColumns({k: F.col(k).cast(state.schema[k].dataType) for k in other}) if other else source
 
     def _buckets_of(self, source: DataFrame) -> set[int]:
         return {r[0] for r in source.select(self._hash()).distinct().collect()}
@@ -339,7 +341,8 @@ class SnapshotTable:
         if before is None:
             raise VersionNotFoundError(f"{self.path} has no version")
         agreed = self._agreed(before)
-        with cached(agreed._typed(source, before)) as source:
+        typed = agreed._typed(source, before)
+        with nullcontext(typed) if typed.is_cached else cached(typed) as source:
             touched = agreed._buckets_of(source)
             result = combine(self._load(before, touched), source)
             schema = widen(before.schema, result.schema)

@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratalake.operators.cdc import fold_cells, from_cells, merge_cells, to_cells
+from stratalake.operators.cdc import NEWS, fold_cells, from_cells, merge_news, to_cells
 from stratalake.operators.quality import flag_rows, rule_metrics
 from stratalake.operators.transforms import type_trips
 from stratalake.sources.snapshots import SnapshotTable
-from stratalake.tuning import cached
+from stratalake.tuning import adaptive, cached, fold_splits
 
 # Key of a trip.
 TRIP_KEYS = ("tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "fare_amount")
@@ -91,20 +91,19 @@ def fold_into(
     keys = list(table.keys)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = table.using(batch.sparkSession)
-        folded = fold_cells(to_cells(batch, keys, sequence_by, ignore_nulls), keys).persist()
-        try:
-            if folded.isEmpty():
-                return
-            if not target.exists():
-                target.overwrite(folded.limit(0), operation="create")
-            with cached(target.touched_by(folded)) as stored:  # read once: for the question and for the merge
-                if _news(stored, folded, keys) or not target.version():
-                    target.merge(folded, lambda _, cells: merge_cells(stored, cells, keys), operation="fold", streams={stream_id: batch_id})
-        finally:
-            folded.unpersist()
+        with adaptive(batch.sparkSession):
+            target = table.using(batch.sparkSession)
+            with cached(fold_cells(to_cells(batch, keys, sequence_by, ignore_nulls), keys)) as folded:
+                if folded.isEmpty():
+                    return
+                if not target.exists():
+                    target.overwrite(folded.limit(0), operation="create")
+                with cached(merge_news(target.touched_by(folded), folded, keys)) as merged:  # for the question and for the merge
+                    if not target.version() or not merged.where(NEWS).isEmpty():
+                        target.merge(folded, lambda _stored, _source: merged.drop(NEWS), operation="fold", streams={stream_id: batch_id})
 
-    return _run(changes, apply, checkpoint)
+    with fold_splits(changes.sparkSession):
+        return _run(changes, apply, checkpoint)
 
 
 def run_name(spark: SparkSession, checkpoint: str) -> str:
@@ -119,19 +118,6 @@ def run_name(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(path).first()["value"]
 
 
-def _news(state: DataFrame, folded: DataFrame, keys: list[str]) -> bool:
-    """Whether a folded batch changes a key of the stored state; only keys of the batch are compared."""
-    known = state.join(folded.select(*keys), keys, "left_semi")
-    hits = merge_cells(known, folded, keys)
-    return not hits.select(*sorted(hits.columns)).exceptAll(_like(known, hits)).isEmpty()
-
-
-def _like(state: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``state`` with the columns of ``wanted`` in sorted order; those it lacks are NULL."""
-    empty = wanted.limit(0)
-    return empty.unionByName(state, allowMissingColumns=True).select(*sorted(wanted.columns))
-
-
 def current_rows(table: SnapshotTable, ignore_nulls: bool = False, version: int | None = None) -> DataFrame:
     """The folded table as plain rows."""
     return from_cells(table.read(version), list(table.keys), ignore_nulls)
