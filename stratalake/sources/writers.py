@@ -51,12 +51,15 @@ def flag_partitioned(df: DataFrame, path: str, flag: str = "is_quarantined") ->
     df.write.mode("overwrite").partitionBy(flag).parquet(path)
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
+def append_stream(
+    stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (), compression: str | None = None
+) -> StreamingQuery:
     """Append what is available now and stop; progress is kept in the checkpoint."""
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*partition_by)
+        .options(**({"compression": compression} if compression else {}))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)

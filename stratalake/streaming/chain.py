@@ -29,7 +29,10 @@ from stratalake.operators.quality import QUARANTINED, clean, quarantined
 from stratalake.sources.evolving import SchemaStore, evolving_stream
 from stratalake.sources.writers import append_stream
 from stratalake.streaming.flows import TRIP_KEYS, bronze, run_name, staging
+from stratalake.tuning import adaptive, fold_splits
 
+#: Every row is stored once per hop, so the hops are written denser than by default.
+COMPRESSION = "zstd"
 _LINEAGE = [StructField("_source_file", StringType()), StructField("_ingestion_timestamp", TimestampType()), StructField("_batch_id", StringType())]
 
 
@@ -69,7 +72,8 @@ class TripChain:
         run = run_name(self.spark, self._progress("bronze"))
 
         def store(batch: DataFrame, number: int) -> None:
-            bronze(batch, as_of, batch_id).write.mode("overwrite").parquet(f"{self.base}/bronze/run={run}/batch={number}")
+            rows = bronze(batch, as_of, batch_id)
+            rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{self.base}/bronze/run={run}/batch={number}")
 
         return evolving_stream(self.spark, landing, self.schemas, store, self._progress("bronze"), files_per_batch)
 
@@ -80,7 +84,7 @@ class TripChain:
 
     def _to_staging(self, checked_at) -> None:
         raw = self.spark.readStream.schema(self.bronze_schema()).parquet(f"{self.base}/bronze/*/*")
-        append_stream(staging(raw, self.rules, checked_at), f"{self.base}/staging", self._progress("staging"), [QUARANTINED])
+        append_stream(staging(raw, self.rules, checked_at), f"{self.base}/staging", self._progress("staging"), [QUARANTINED], COMPRESSION)
 
     def staging_schema(self) -> StructType:
         empty = self.spark.createDataFrame([], self.bronze_schema())
@@ -90,7 +94,7 @@ class TripChain:
         return self.spark.readStream.schema(self.staging_schema()).parquet(f"{self.base}/staging")
 
     def _to_quarantine(self) -> None:
-        append_stream(quarantined(self._staged()), f"{self.base}/quarantine", self._progress("quarantine"))
+        append_stream(quarantined(self._staged()), f"{self.base}/quarantine", self._progress("quarantine"), compression=COMPRESSION)
 
     def _cells(self, trips: DataFrame) -> DataFrame:
         return to_cells(trips, self.keys, "_ingestion_timestamp", ignore_nulls=True)
@@ -99,10 +103,13 @@ class TripChain:
         run = run_name(self.spark, self._progress("fold"))
 
         def store(batch: DataFrame, number: int) -> None:
-            fold_cells(self._cells(batch), self.keys).write.mode("overwrite").parquet(f"{self.base}/cells/run={run}/batch={number}")
+            with adaptive(batch.sparkSession):
+                folded = fold_cells(self._cells(batch), self.keys)
+                folded.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{self.base}/cells/run={run}/batch={number}")
 
         stream = clean(self._staged()).writeStream.foreachBatch(store).option("checkpointLocation", self._progress("fold"))
-        stream.trigger(availableNow=True).start().awaitTermination()
+        with fold_splits(self.spark):
+            stream.trigger(availableNow=True).start().awaitTermination()
 
     # -- results ------------------------------------------------------------------------------
 
