@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from stratalake.llm import text as tx
-from stratalake.llm.store import bounded
+from stratalake.llm.store import bounded, tidy
 from stratalake.llm.tokens import Memo, Unique, piece_cut, segments
 
 MARK = "▁"
@@ -347,7 +347,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str
             lists = [tx.lists(np.concatenate(x), bounds) for x in zip(*flat)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *lists], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -360,7 +360,7 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", keep: tuple[st
             texts = pa.array([model.decode(row.as_py() or []).decode() for row in batch.column(len(kept))], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], texts], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 class _Digest:
@@ -403,4 +403,4 @@ def digests(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[st
             columns = [pa.array(c, t) for c, t in zip(zip(*results), (pa.int64(), pa.string(), pa.string(), pa.string()))] if results else [pa.array([], pa.int64()), *[pa.array([], pa.string())] * 3]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -17,7 +17,7 @@ import regex
 from stratalake.llm import text as tx
 
 MEMO = 1_000_000
-SLICE = 2 << 20
+SLICE = 1 << 19
 #: Pre-tokens remembered with their ids.
 WORDS = 200_000
 BATCH_BYTES = 1 << 18
