@@ -13,6 +13,11 @@
    its overlap with every member. Groups whose bound does not reach what the sizes demand stay closed.
 5. Only the members of open groups are compared, on whole sets, and only across groups: inside a group
    the nodes are connected already. The nodes of the smaller of two groups ask.
+6. A group of more than ``FEW`` is not listed member by member. It falls into cells, each of nodes that link with one
+   centre, and a query node is compared with the centres of the cells that its bound allows. What two sets
+   share is what each shares with the centre, less the centre, plus where they differ from it alike. So the
+   centre's comparison either shows a link, or says how many differences a member must have in common with
+   the query to link; only members with one of their first differences in common are compared.
 
 Every pair that links lies in one group or across two of which one is opened to a node of the other, so
 no connection between different texts is lost. Tokens and sets are 64-bit hashes. What
@@ -28,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +55,8 @@ SMALL = 5_000
 LAST = 1_000_000
 #: Min-hashes of the bands: texts are compared with a leader when they agree in all of one band.
 BANDS = ((0,), (1,), (2, 3), (4, 5), (6, 7), (8, 9, 10), (11, 12, 13), (14, 15, 16))
+#: Members of an open group that are listed for each query; a larger group is met through the centres of its cells.
+FEW = 8
 #: Nodes whose sets are asked for by a list sent to the tasks (8 bytes each); beyond, all sets are joined.
 ASKED = 2_000_000
 
@@ -182,27 +190,48 @@ def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return made.groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    pairs = store.keep(pairs, "pairs")
-    sets = store.keep(whole_sets(docs, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))), "sets")
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, common): the sizes of the whole sets of the pairs (a, b) and how many tokens they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good, x_raw, x = [], None, None
+            sizes, x_raw, x = [], None, None
             for one, other in zip(batch.column(2), batch.column(3)):
                 if x_raw is None or one.as_buffer() != x_raw:
                     x_raw = one.as_buffer()
                     x = np.frombuffer(x_raw, np.uint64)
                 y = np.frombuffer(other.as_buffer(), np.uint64)
                 small, large = (x, y) if len(x) < len(y) else (y, x)
-                common = int(tx.contains(large, small).sum())
-                good.append(DEN * common >= NUM * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+                sizes.append((len(x), len(y), int(tx.contains(large, small).sum())))
+            found = np.array(sizes, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x) for x in found.T)], ["a", "b", "n_a", "n_b", "common"])
 
     first = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     second = first.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-    return store.keep(second.select("a", "b", "x", "y").mapInArrow(store.tidy(run), "a long, b long"), "links")
+    return second.select("a", "b", "x", "y").mapInArrow(store.tidy(run), "a long, b long, n_a long, n_b long, common long")
+
+
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common) of the pairs whose whole sets link."""
+    return compared(pairs, sets).where((NUM + DEN) * F.col("common") >= NUM * (F.col("n_a") + F.col("n_b"))).select("a", "b", "common")
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, common) of the pairs (a, b) whose whole sets, read from the documents, link."""
+    pairs = store.keep(pairs, "pairs")
+    sets = store.keep(whole_sets(docs, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))), "sets")
+    return store.keep(linked(pairs, sets), "links")
+
+
+def centred(links: DataFrame) -> DataFrame:
+    """(node, c, y): the centre of every linked node, of itself and the nodes it links with the one with the most links, and
+    the tokens it shares with it (null: itself)."""
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("c"), "common").unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("c"), "common"))
+    degree = both.groupBy("c").agg(F.count("*").alias("links"))
+    best = both.join(degree, "c").groupBy("node").agg(F.max(F.struct("links", "c", "common")).alias("best"))
+    own = degree.select(F.col("c").alias("node"), F.struct("links", "c").alias("own"))
+    other = F.struct(F.col("best.links"), F.col("best.c")) > F.col("own")
+    return best.join(own, "node").select("node", F.when(other, F.col("best.c")).otherwise(F.col("node")).alias("c"), F.when(other, F.col("best.common")).alias("y"))
 
 
 def leader_pairs(nodes: DataFrame) -> DataFrame:
@@ -288,14 +317,12 @@ class Matrix:
         return cls(placed, members, store.keep(cells.join(several, "token", "left_semi"), "matrix"))
 
     def opened(self) -> DataFrame:
-        """(q, g): queries and groups that the overlap bound does not rule out.
+        """(q, g, size): queries and groups that the overlap bound does not rule out.
 
         Of two groups the nodes of the one with fewer members ask. Some shared token must be among the
         first of the smaller set, so of the query or of a member.
         """
-        count = self.members.groupBy("g").agg(
-            F.count("*").alias("size"), F.min("n").alias("small"), F.max("n").alias("large"), F.min("last").alias("first_end"), F.max("last").alias("last_end")
-        )
+        count = self.members.groupBy("g").agg(F.count("*").alias("size"), F.min("n").alias("small"), F.max("n").alias("large"))
         asking = self.placed.join(count.select("g", F.col("size").alias("own_size")), "g").join(self.members.select("node", "n"), "node")
         asking = asking.select("token", F.col("node").alias("q"), F.col("g").alias("own"), F.col("short").alias("early"), "own_size", "n")
         cells = self.cells.join(count.select("g", "size", "small", "large"), "g")
@@ -305,18 +332,25 @@ class Matrix:
         found = asking.where("early").join(cells, "token").where(fits & ((F.col("large") >= F.col("n")) | member_smaller)).select("q", "g")
         found = found.union(asking.where("NOT early").join(cells.where("short"), "token").where(fits & member_smaller).select("q", "g")).distinct()
         met = found.join(self.placed.select(F.col("node").alias("q"), "token"), "q").join(self.cells, ["g", "token"])
-        met = met.groupBy("q", "g").agg(F.count("*").alias("common"))
-        met = met.join(self.members.select(F.col("node").alias("q"), "n", "last"), "q").join(count, "g")
+        return self._reached(met.groupBy("q", "g").agg(F.count("*").alias("common")), self.members, "g")
+
+    def _reached(self, met: DataFrame, members: DataFrame, part: str) -> DataFrame:
+        """(q, part, size) of ``met`` (q, part, common) where the query's tokens in the part's union suffice for a member of the part."""
+        count = members.groupBy(part).agg(
+            F.count("*").alias("size"), F.min("n").alias("small"), F.max("n").alias("large"), F.min("last").alias("first_end"), F.max("last").alias("last_end")
+        )
+        met = met.join(self.members.select(F.col("node").alias("q"), "n", "last"), "q").join(count, part)
         low = F.greatest("small", F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9)))
         high = F.least("large", F.floor(F.col("n") * DEN / F.lit(float(NUM)) + F.lit(1e-9)))
         by_query = _overlap(F.col("n"), low) - _left(F.col("n"))
         by_member = _least_by_member(F.col("n"), low, high)
         need = F.when(F.col("last") <= F.col("first_end"), by_query).when(F.col("last") > F.col("last_end"), by_member).otherwise(F.least(by_query, by_member))
-        return met.where((low <= high) & (F.col("common") >= need)).select("q", "g")
+        return met.where((low <= high) & (F.col("common") >= need)).select("q", part, "size")
 
-    def all_members(self) -> DataFrame:
+    def all_members(self, opened: DataFrame | None = None) -> DataFrame:
         """(a, b): the members of opened groups that share enough of the query's tokens."""
-        tokens = self.opened().join(self.placed.select(F.col("node").alias("q"), "token"), "q")
+        opened = self.opened() if opened is None else opened
+        tokens = opened.select("q", "g").join(self.placed.select(F.col("node").alias("q"), "token"), "q")
         common = tokens.join(self.placed.select("token", "g", F.col("node").alias("s")), ["g", "token"]).groupBy("q", "s").agg(F.count("*").alias("common"))
         pair = common.join(self.members.select(F.col("node").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q")), "q")
         pair = pair.join(self.members.select(F.col("node").alias("s"), F.col("n").alias("n_s"), F.col("last").alias("last_s")), "s")
@@ -326,6 +360,75 @@ class Matrix:
         return pair.where(fits & enough).select(F.least("q", "s").alias("a"), F.greatest("q", "s").alias("b"))
 
 
+    def reached_cells(self, opened: DataFrame, members: DataFrame) -> DataFrame:
+        """(q, c): the cells of opened groups that the overlap bound does not rule out. ``members``: node, n, last, g, c."""
+        cells = self.placed.join(members.select("node", "c"), "node").select("token", "g", "c").distinct()
+        met = opened.select("q", "g").join(self.placed.select(F.col("node").alias("q"), "token"), "q").join(cells, ["g", "token"])
+        return self._reached(met.groupBy("q", "c").agg(F.count("*").alias("common")), members, "c").select("q", "c")
+
+
+def first_differences(rows: DataFrame, sets: DataFrame, order: Order) -> DataFrame:
+    """(c, node, asks, token): of the tokens that only one of node and c has, all but ``need - 1`` of ``rows`` (node, c, need, asks).
+
+    Tokens that the centre lacks come first, then those that the node lacks, each in the common order. Two nodes that
+    differ from their centre alike in ``need`` tokens meet in one of these.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                node, c, need, asks, x, y = (column[at] for column in batch.columns)
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                token = np.concatenate([order.of(x[~tx.contains(y, x)]), order.of(y[~tx.contains(x, y)])])
+                token = token[: max(len(token) - need.as_py() + 1, 0)]
+                same = [pa.array(np.full(len(token), v.as_py())) for v in (c, node, asks)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(token)], ["c", "node", "asks", "token"])
+
+    whole = rows.join(sets.select("node", F.col("tokens").alias("x")), "node").join(sets.select(F.col("node").alias("c"), F.col("tokens").alias("y")), "c")
+    return whole.select("node", "c", "need", "asks", "x", "y").mapInArrow(store.tidy(run), "c long, node long, asks boolean, token long")
+
+
+def through_centres(asked: DataFrame, members: DataFrame, sets: DataFrame, order: Order) -> DataFrame:
+    """(a, b): for every (q, c) of ``asked`` a link of the query with the centre, where it links with some member by what both share
+    with the centre, else its links with members of the cell.
+
+    With x and y tokens of q and s in c and d tokens in which both differ from c alike, q and s share x + y - n_c + d.
+    They link when ``(t + 1) d >= gap`` for ``gap = t (n_q + n_s) - (t + 1) (x + y - n_c)``, t in whole numbers as NUM to DEN.
+    """
+    total = NUM + DEN
+    rest = members.where("node <> c").withColumn("part", NUM * F.col("n") - total * F.col("y"))
+    met = compared(asked.select(F.col("q").alias("a"), F.col("c").alias("b")), sets).withColumnsRenamed({"a": "q", "b": "c"})
+    met = met.join(rest.groupBy("c").agg(F.min("part").alias("least")), "c", "left").withColumn("own", NUM * F.col("n_a") - total * F.col("common") + total * F.col("n_b"))
+    met = store.keep(met.withColumn("gap", F.col("own") + F.least(-DEN * F.col("n_b"), "least")), "centres")
+    shows = met.where("gap <= 0").select(F.col("q").alias("a"), F.col("c").alias("b"))
+    need = F.ceil(F.col("gap") / F.lit(float(total)) - F.lit(1e-9))
+    can = F.col("gap") <= total * F.col("differ")
+    asks = met.where("gap > 0 AND least IS NOT NULL").withColumn("differ", F.col("n_a") + F.col("n_b") - 2 * F.col("common")).where(can)
+    open_cells = asks.groupBy("c").agg(F.min("own").alias("own"), F.max("n_b").alias("n_c"))
+    answers = rest.join(open_cells, "c").withColumn("gap", F.col("own") + F.col("part")).withColumn("differ", F.col("n") + F.col("n_c") - 2 * F.col("y")).where(can)
+    rows = asks.select(F.col("q").alias("node"), "c", need.alias("need"), F.lit(True).alias("asks")).unionByName(answers.select("node", "c", need.alias("need"), F.lit(False).alias("asks")))
+    told = store.keep(first_differences(rows, sets, order), "differences")
+    pairs = told.where("asks").select("c", "token", F.col("node").alias("a")).join(told.where("NOT asks").select("c", "token", F.col("node").alias("b")), ["c", "token"])
+    return shows.unionByName(linked(store.keep(pairs.select("a", "b").distinct(), "pairs"), sets).select("a", "b"))
+
+
+def links_across(matrix: Matrix, links: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
+    """(a, b): links between the groups that ``links`` made, enough to connect every two groups that link."""
+    opened = store.keep(matrix.opened(), "opened")
+    pairs = matrix.all_members(opened.where(F.col("size") <= FEW))
+    large = opened.where(F.col("size") > FEW)
+    if large.isEmpty():
+        return verified(pairs, docs).select("a", "b")
+    pairs = store.keep(pairs, "pairs")
+    members = matrix.members.join(large.select("g").distinct(), "g", "left_semi").join(centred(links), "node")
+    members = store.keep(members.withColumn("y", F.coalesce("y", "n")), "cells")
+    asked = store.keep(matrix.reached_cells(large, members), "asked")
+    cell = members.join(asked.select("c").distinct(), "c", "left_semi").select("node")
+    named = [pairs.select(F.col("a").alias("node")), pairs.select(F.col("b").alias("node")), asked.select(F.col("q").alias("node")), asked.select(F.col("c").alias("node")), cell]
+    sets = store.keep(whole_sets(docs, reduce(DataFrame.unionByName, named)), "sets")
+    return store.keep(linked(pairs, sets).select("a", "b").unionByName(through_centres(asked, members, sets, order)), "links")
+
+
 def regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
     """(node, label) of the groups after links (a, b) between nodes of different groups."""
     named = lambda side: links.select("a", "b").join(groups.select(F.col("node").alias(side), F.col("label").alias("g")), side, "left").select(F.coalesce("g", side).alias(f"g{side}"), "a", "b")
@@ -338,13 +441,15 @@ def regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """Per document row: row, doc_id, text_key, n_shingles, component_id, and first (it is the one of its component to stay)."""
-    table = store.keep(sketch(docs, frequent_tokens(docs)), "sketch")
+    order = frequent_tokens(docs)
+    table = store.keep(sketch(docs, order), "sketch")
     nodes = table.where("prefix IS NOT NULL")
-    groups = components(verified(leader_pairs(nodes), docs))
+    links = verified(leader_pairs(nodes), docs)
+    groups = components(links)
     facts = nodes.select("node", "n", F.element_at("prefix", -1).alias("last")).dropDuplicates(["node"])
     shared = store.keep(shared_tokens(nodes), "shared-tokens")
     facts = store.keep(facts.join(shared.select("node").distinct(), "node", "left_semi"), "facts")
-    label = regrouped(groups, verified(Matrix.of(facts, shared, groups).all_members(), docs))
+    label = regrouped(groups, links_across(Matrix.of(facts, shared, groups), links, docs, order))
     # smallest id, and the row that stays, per set and then per component
     best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("best")
     per_node = table.where("n > 0").groupBy("node").agg(best)
