@@ -36,6 +36,10 @@ from stratalake.llm import store, text as tx
 #: Labelled rows that insult words are learned from.
 SAMPLE = 20_000
 HEADS = (4, 5, 6)
+#: Counted features that a task holds before it passes them on.
+HELD = 30_000
+#: Bytes of texts whose words are hashed at once: the arrays for them are many times as large.
+HASHED = 1 << 18
 #: Texts that are labelled toxic among those with the word, at least.
 PRECISION = 0.95
 #: Part of the toxic texts that hold a word or beginning, at least: what a group of near copies repeats is no insult.
@@ -166,38 +170,46 @@ class Scorer:
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     """Words and beginnings with their weights from rows (text, toxic): at most what the sampled rows hold."""
 
+    held = HELD
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, Counter] = {0: Counter(), 1: Counter()}
+
+        def counted() -> pa.RecordBatch:
+            keys = sorted(set(found[0]) | set(found[1]))
+            return pa.RecordBatch.from_pydict({"feature": pa.array(keys, pa.string()), "pos": pa.array([found[1][k] for k in keys], pa.int64()), "neg": pa.array([found[0][k] for k in keys], pa.int64())})
+
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, toxic in zip(batch.column(0), batch.column(1)):
+                if len(found[0]) + len(found[1]) >= held:
+                    yield counted()
+                    found = {0: Counter(), 1: Counter()}
+                text, toxic = text.as_py(), toxic.as_py()
                 words = set(_WORD.findall(text.translate(_LOWER)))
                 features = set(words)
                 for raw in (w.encode() for w in words):
                     features.update(raw[:n].decode("utf-8", "replace") + "*" for n in HEADS if len(raw) > n)
                 found[toxic].update(features)
                 found[toxic][""] += 1
-        keys = sorted(set(found[0]) | set(found[1]))
-        yield pa.RecordBatch.from_pydict({"feature": pa.array(keys, pa.string()), "pos": pa.array([found[1][k] for k in keys], pa.int64()), "neg": pa.array([found[0][k] for k in keys], pa.int64())})
+        yield counted()
 
     distinct = labelled.groupBy("text").agg(F.max("toxic").alias("toxic"))
-    counts = distinct.mapInArrow(store.tidy(run), "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos > 0").persist()
-    try:
-        total = counts.where("feature = ''").first()
-        weights = dict.fromkeys(SEEDS, 4.0)
-        if total is None or not total["neg"]:
-            return weights
-        n_features = counts.count()
-        rate = total["pos"] / (total["pos"] + total["neg"])
-        share = F.expr("pos / (pos + neg)")
-        ratio = F.col("pos") * F.log(share / rate) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-        chosen = counts.where((F.col("feature") != "") & (share >= PRECISION) & (F.col("pos") >= SUPPORT * total["pos"]) & (ratio >= math.log(n_features) + EVIDENCE))
-        odds = math.log((total["pos"] + 1) / (total["neg"] + 1))
-        for r in chosen.collect():
-            weight = math.log((r["pos"] + 0.5) / (r["neg"] + 0.5)) - odds
-            weights[r["feature"]] = min(max(weight, weights.get(r["feature"], 0.0)), MOST)
-        return {k: w for k, w in weights.items() if "�" not in k}
-    finally:
-        counts.unpersist()
+    counts = distinct.mapInArrow(store.tidy(run), "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = store.keep(counts.where("pos > 0"), "features")
+    total = counts.where("feature = ''").first()
+    weights = dict.fromkeys(SEEDS, 4.0)
+    if total is None or not total["neg"]:
+        return weights
+    n_features = counts.count()
+    rate = total["pos"] / (total["pos"] + total["neg"])
+    share = F.expr("pos / (pos + neg)")
+    ratio = F.col("pos") * F.log(share / rate) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    chosen = counts.where((F.col("feature") != "") & (share >= PRECISION) & (F.col("pos") >= SUPPORT * total["pos"]) & (ratio >= math.log(n_features) + EVIDENCE))
+    odds = math.log((total["pos"] + 1) / (total["neg"] + 1))
+    for r in chosen.collect():
+        weight = math.log((r["pos"] + 0.5) / (r["neg"] + 0.5)) - odds
+        weights[r["feature"]] = min(max(weight, weights.get(r["feature"], 0.0)), MOST)
+    return {k: w for k, w in weights.items() if "�" not in k}
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, training: Column, rows: int = SAMPLE) -> DataFrame:
@@ -223,7 +235,7 @@ def score_texts(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...
         for batch in batches:
             score, clauses = np.full(batch.num_rows, base), np.zeros(batch.num_rows, np.int32)
             column = batch.column(len(keep))
-            for w in tx.words(column, tx.ALNUM):
+            for w in tx.words(column, tx.ALNUM, HASHED):
                 for row in scorer.candidates(w) + w.first:
                     found = list(scorer.clauses(column[int(row)].as_py()))
                     score[row] = 1 / (1 + math.exp(-min(BIAS + sum(found), 30.0)))
