@@ -317,7 +317,7 @@ class Matrix:
         return cls(placed, members, store.keep(cells.join(several, "token", "left_semi"), "matrix"))
 
     def opened(self) -> DataFrame:
-        """(q, g, size): queries and groups that the overlap bound does not rule out.
+        """(q, g, size, n, last): queries and groups that the overlap bound does not rule out; n and last are the query's.
 
         Of two groups the nodes of the one with fewer members ask. Some shared token must be among the
         first of the smaller set, so of the query or of a member.
@@ -329,30 +329,41 @@ class Matrix:
         # by size, some member can link; and the token is among the first of whichever set is the smaller
         fits = (F.col("small") * NUM <= F.col("n") * DEN) & (F.col("large") * DEN >= F.col("n") * NUM) & (F.struct("own_size", "own") < F.struct("size", "g"))
         member_smaller = F.col("short") & (F.col("small") <= F.col("n"))
-        found = asking.where("early").join(cells, "token").where(fits & ((F.col("large") >= F.col("n")) | member_smaller)).select("q", "g")
-        found = found.union(asking.where("NOT early").join(cells.where("short"), "token").where(fits & member_smaller).select("q", "g")).distinct()
-        met = found.join(self.placed.select(F.col("node").alias("q"), "token"), "q").join(self.cells, ["g", "token"])
-        return self._reached(met.groupBy("q", "g").agg(F.count("*").alias("common")), self.members, "g")
+        found = asking.where("early").join(cells, "token").where(fits & ((F.col("large") >= F.col("n")) | member_smaller)).select("q", "g", "size")
+        found = found.union(asking.where("NOT early").join(cells.where("short"), "token").where(fits & member_smaller).select("q", "g", "size")).distinct()
+        # the tokens of a small group go with it as one list, as do those of a node; those of a large group are met one by one
+        few = F.col("size") <= FEW
+        asks = self.placed.groupBy(F.col("node").alias("q")).agg(F.collect_list("token").alias("x")).join(self.sizes(), "q")
+        holds = cells.where(few).groupBy("g").agg(F.collect_list("token").alias("y"))
+        met = found.where(few).select("q", "g").join(asks, "q").join(holds, "g").select("q", "g", F.size(F.array_intersect("x", "y")).cast("long").alias("common"), "n", "last")
+        listed = found.where(~few).select("q", "g").join(self.placed.select(F.col("node").alias("q"), "token"), "q").join(self.cells, ["g", "token"])
+        met = met.unionByName(listed.groupBy("q", "g").agg(F.count("*").alias("common")).join(self.sizes(), "q"))
+        return self._reached(met, self.members, "g")
+
+    def sizes(self) -> DataFrame:
+        """(q, n, last) of every node."""
+        return self.members.select(F.col("node").alias("q"), "n", "last")
 
     def _reached(self, met: DataFrame, members: DataFrame, part: str) -> DataFrame:
-        """(q, part, size) of ``met`` (q, part, common) where the query's tokens in the part's union suffice for a member of the part."""
+        """(q, part, size, n, last) of ``met`` (q, part, common, n, last) where the query's tokens in the part's union suffice for a member of the part."""
         count = members.groupBy(part).agg(
             F.count("*").alias("size"), F.min("n").alias("small"), F.max("n").alias("large"), F.min("last").alias("first_end"), F.max("last").alias("last_end")
         )
-        met = met.join(self.members.select(F.col("node").alias("q"), "n", "last"), "q").join(count, part)
+        met = met.join(count, part)
         low = F.greatest("small", F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9)))
         high = F.least("large", F.floor(F.col("n") * DEN / F.lit(float(NUM)) + F.lit(1e-9)))
         by_query = _overlap(F.col("n"), low) - _left(F.col("n"))
         by_member = _least_by_member(F.col("n"), low, high)
         need = F.when(F.col("last") <= F.col("first_end"), by_query).when(F.col("last") > F.col("last_end"), by_member).otherwise(F.least(by_query, by_member))
-        return met.where((low <= high) & (F.col("common") >= need)).select("q", part, "size")
+        return met.where((low <= high) & (F.col("common") >= need)).select("q", part, "size", "n", "last")
 
     def all_members(self, opened: DataFrame | None = None) -> DataFrame:
         """(a, b): the members of opened groups that share enough of the query's tokens."""
         opened = self.opened() if opened is None else opened
-        tokens = opened.select("q", "g").join(self.placed.select(F.col("node").alias("q"), "token"), "q")
-        common = tokens.join(self.placed.select("token", "g", F.col("node").alias("s")), ["g", "token"]).groupBy("q", "s").agg(F.count("*").alias("common"))
-        pair = common.join(self.members.select(F.col("node").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q")), "q")
+        asks = opened.select("q", "g", F.col("n").alias("n_q"), F.col("last").alias("last_q"))
+        tokens = asks.join(self.placed.select(F.col("node").alias("q"), "token"), "q")
+        common = tokens.join(self.placed.select("token", "g", F.col("node").alias("s")), ["g", "token"])
+        pair = common.groupBy("q", "n_q", "last_q", "s").agg(F.count("*").alias("common"))
         pair = pair.join(self.members.select(F.col("node").alias("s"), F.col("n").alias("n_s"), F.col("last").alias("last_s")), "s")
         fits = F.least("n_q", "n_s") * DEN >= F.greatest("n_q", "n_s") * NUM
         ends_first = F.when(F.col("last_q") <= F.col("last_s"), F.col("n_q")).otherwise(F.col("n_s"))
@@ -364,7 +375,7 @@ class Matrix:
         """(q, c): the cells of opened groups that the overlap bound does not rule out. ``members``: node, n, last, g, c."""
         cells = self.placed.join(members.select("node", "c"), "node").select("token", "g", "c").distinct()
         met = opened.select("q", "g").join(self.placed.select(F.col("node").alias("q"), "token"), "q").join(cells, ["g", "token"])
-        return self._reached(met.groupBy("q", "c").agg(F.count("*").alias("common")), members, "c").select("q", "c")
+        return self._reached(met.groupBy("q", "c").agg(F.count("*").alias("common")).join(self.sizes(), "q"), members, "c").select("q", "c")
 
 
 def first_differences(rows: DataFrame, sets: DataFrame, order: Order) -> DataFrame:

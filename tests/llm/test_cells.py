@@ -70,3 +70,22 @@ def test_a_cell_shows_a_link_if_a_member_links(spark, seed):
     aside = {q for q in wanted if not links(sets[q], sets[q - q % 100])}
     assert aside and {r.a for r in rows} == wanted
     assert all(links(sets[r.a], sets[r.b]) for r in rows if r.b % 100)
+
+
+def test_nodes_meet_small_groups_by_lists_of_tokens(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = {node: np.sort(rng.choice(60, int(rng.integers(8, 25)), replace=False)).tolist() for node in range(80)}
+    prefix = {node: s[: jg.prefix_length(len(s))] for node, s in sets.items()}
+    facts = [(node, len(s), prefix[node][-1]) for node, s in sets.items()]
+    shared = [(t, node, place < len(sets[node]) - -(-6 * len(sets[node]) // 7) + 1) for node, tokens in prefix.items() for place, t in enumerate(tokens)]
+    groups = [(node, node - node % (2 if node < 40 else 10)) for node in range(70)]
+    matrix = jg.Matrix.of(
+        spark.createDataFrame(facts, "node long, n long, last long"), spark.createDataFrame(shared, "token long, node long, short boolean"), spark.createDataFrame(groups, "node long, label long")
+    )
+    rows = lambda: sorted((r.q, r.g, r.size) for r in matrix.opened().collect())
+    found = rows()
+    assert found and {size for *_, size in found} >= {2, 10}
+    assert "array_intersect" in matrix.opened()._jdf.queryExecution().analyzed().toString()
+    for few in (0, 100):
+        monkeypatch.setattr(jg, "FEW", few)
+        assert rows() == found
