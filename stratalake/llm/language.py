@@ -125,7 +125,7 @@ class Vectors:
         return out
 
 
-_vectors: dict[tuple[int, int], Vectors] = {}
+_vectors: dict[tuple[int, int], Vectors] = store.remembered({})
 
 
 def _shared(dimensions: int, n: int) -> Vectors:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm import store
 from stratalake.llm import text as tx
 
 #: Base phrases and labels (fixed values).
@@ -166,7 +167,7 @@ class Scanner:
         return sorted(kept)
 
 
-_scanners: dict[int, Scanner] = {}
+_scanners: dict[int, Scanner] = store.remembered({})
 
 
 def scan(docs: DataFrame, ordered: list[Rule] | None = None, base: dict[str, str] = BASE, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:

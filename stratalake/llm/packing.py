@@ -36,7 +36,7 @@ from stratalake.llm.tokens import ByteBpe
 
 #: Part of the fractional use of a configuration that is rounded down and taken; the rest is packed anew.
 SHARE = 0.5
-_encoders: dict[str, ByteBpe] = {}
+_encoders: dict[str, ByteBpe] = store.remembered({})
 
 
 def encode_pieces(docs: DataFrame, path: str, pattern: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from stratalake.llm import text as tx
-from stratalake.llm.store import bounded, tidy
+from stratalake.llm.store import bounded, remembered, tidy
 from stratalake.llm.tokens import Memo, Unique, piece_cut, segments
 
 MARK = "▁"
@@ -306,7 +306,7 @@ def _plain_source(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, places
     return at
 
 
-_models: dict[str, Pieces] = {}
+_models: dict[str, Pieces] = remembered({})
 
 
 def _model(path: str) -> Pieces:

@@ -20,7 +20,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from stratalake.llm import store
 from stratalake.llm.tokens import PieceCounts
 
-_models: dict[str, PieceCounts] = {}
+_models: dict[str, PieceCounts] = store.remembered({})
 
 
 def token_counts(docs: DataFrame, model_path: str, limit: int, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -8,6 +8,7 @@ emptied when full. A long text is worked on in pieces that end at safe places.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from stratalake.llm import text as tx
 
 MEMO = 1_000_000
 SLICE = 1 << 19
-#: Pre-tokens remembered with their ids.
+#: Pre-tokens remembered with their ids (packed, four bytes each).
 WORDS = 200_000
 BATCH_BYTES = 1 << 18
 
@@ -204,7 +205,7 @@ class ByteBpe:
         if any(b" " in t for t in added):
             raise ValueError("added tokens with spaces: texts can't be cut at spaces")
         self.special = regex.compile(b"|".join(map(regex.escape, added)) or b"(?!)")
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.tokenize, self.find = self.tokenizer.model.tokenize, regex.compile(pattern).findall
         self.letters = _byte_letters()
         self._clear()
@@ -246,7 +247,7 @@ class ByteBpe:
             yield done, np.empty(0, np.int32), np.zeros(len(column) - done + 1, np.int64)
 
     def _add(self, unique: Unique, new: list[int]) -> np.ndarray:
-        flat: list[int] = []
+        packed = bytearray()
         ends = []
         tokenize, letters, find, words, special = self.tokenize, self.letters, self.find, self.words, self.special
         if len(words) > WORDS:
@@ -255,14 +256,15 @@ class ByteBpe:
             segment = unique.bytes(i)
             text = segment.decode()
             if special.search(segment):
-                flat += self.tokenizer.encode(text, add_special_tokens=False).ids
+                packed += array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
             else:
                 for word in find(text):
                     if (ids := words.get(word)) is None:
-                        ids = [t.id for t in tokenize(word.encode().decode("latin-1").translate(letters))]
+                        ids = array("i", [t.id for t in tokenize(word.encode().decode("latin-1").translate(letters))]).tobytes()
                         words[word] = ids
-                    flat += ids
-            ends.append(len(flat))
+                    packed += ids
+            ends.append(len(packed) // 4)
+        flat = np.frombuffer(packed, np.int32)
         begin, number = int(self.at[-1]), len(self.at) - 1
         if begin + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(max(len(flat), len(self.flat)), np.int32)])

@@ -219,7 +219,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, training: Column, rows:
     return docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[int, Scorer] = store.remembered({})
 
 
 def score_texts(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...] = ("doc_id",), text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
