@@ -1,5 +1,6 @@
 """Word hashes, tokens and token counts against plain Python and the tokenizer libraries."""
 
+import itertools
 import random
 import re
 
@@ -50,6 +51,33 @@ def test_byte_ids_are_those_of_the_library():
     assert got == [e.ids for e in encoder.tokenizer.encode_batch([t or "" for t in rows], add_special_tokens=False)]
 
 
+KINDS = ["a", "s", "t", "re", "ll", "B", "é", "ß", "×", "÷", "Ж", "1", "²", "'", "'s", "'S", "-", "_", "…", "«", "\u0301", " ", "  ", "\n", "\xa0", "<|endoftext|>", "<|", "endoftext", "|>", "\x7f"]
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_byte_ids_where_kinds_of_characters_meet(plain):
+    rng = random.Random(7)
+    rows = ["".join(rng.choices(KINDS, k=rng.randint(0, 30))) for _ in range(6000)]
+    rows.append("".join(rng.choices(KINDS, k=400_000)))  # longer than a slice
+    encoder = tokens.ByteBpe(str(P.path("byte_bpe_50k.json")), P.PATTERN)
+    assert encoder.by_kind and encoder.gap is not None
+    if plain:  # as for other patterns and models
+        encoder.by_kind, encoder.gap = False, None
+    got = [ids[a:b].tolist() for _, ids, cut in encoder.encode(pa.array(rows)) for a, b in zip(cut[:-1], cut[1:])]
+    assert got == [e.ids for e in encoder.tokenizer.encode_batch(rows, add_special_tokens=False)]
+
+
+def test_a_word_is_encoded_once_whatever_sign_follows():
+    words = ["".join(p) for p in itertools.product("bdfgk", "aeiou", "lmnrst", "aeo")]
+    rows = [" ".join(w + sign for w in words) for sign in ["", *".,;:!?)]-/"]]
+    encoder, calls = tokens.ByteBpe(str(P.path("byte_bpe_50k.json")), P.PATTERN), []
+    encoder.tokenize = lambda text: calls.append(text) or encoder.tokenizer.model.tokenize(text)
+    got = [ids[a:b].tolist() for _, ids, cut in encoder.encode(pa.array(rows)) for a, b in zip(cut[:-1], cut[1:])]
+    assert got == [encoder.tokenizer.encode(r, add_special_tokens=False).ids for r in rows]
+    assert len(encoder.memo) <= len(words) + 20
+    assert len(calls) <= len(words) / 8
+
+
 def test_counts_of_awkward_rows(spark, docs):
     from pyspark.sql import functions as F
 
