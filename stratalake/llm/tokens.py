@@ -1,9 +1,10 @@
 """Token ids and token counts of whole texts by public tokenizers.
 
-A text is cut before spaces at which no token of the tokenizer can cross (`space_cut`, `piece_cut`), and
-where letters, digits and signs meet if the pattern of the pre-tokens allows it (`kind_cut`); the segments between such places are encoded once per worker and remembered, so a slice of text costs
-one encoding per new segment. The memory of a worker is bounded: its memo holds `MEMO` segments and is
-emptied when full. A long text is worked on in pieces that end at safe places.
+A text is cut before spaces at which no token of the tokenizer can cross (`space_cut`, `piece_cut`) and,
+if the pattern of the pre-tokens allows it, where letters, digits and signs meet (`kind_cut`). The segments
+between such places are encoded once per worker and remembered, so a slice of text costs one encoding per
+new segment. The memory of a worker is bounded: its memo holds `MEMO` segments and is emptied when full. A
+long text is worked on in pieces that end at safe places.
 """
 
 from __future__ import annotations
