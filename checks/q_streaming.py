@@ -12,7 +12,7 @@ from stratalake.sources import readers, writers
 from stratalake.sources.evolving import SchemaStore, evolving_stream
 from stratalake.sources.snapshots import SnapshotTable
 from stratalake.streaming import flows
-from stratalake.streaming.chain import TripChain
+from stratalake.streaming.chain import COMPRESSION, TripChain
 
 
 #: Rows up to which a landing folder is dealt to its few files.
@@ -267,7 +267,7 @@ def _delivered_twice(d, label: str) -> TripChain:
     narrow = trips.withColumns({c: F.col(c).cast("int") for c in ("PULocationID", "DOLocationID", "payment_type")})
     later = trips.withColumns({c: F.expr(e) for c, e in SECOND_DELIVERY.items()} | {"cbd_congestion_fee": F.expr(CBD_FEE)})
     for rows, moment in ((narrow, DELIVERED[0]), (later, DELIVERED[1])):
-        rows.write.mode("append").parquet(landing)
+        rows.write.mode("append").option("compression", COMPRESSION).parquet(landing)
         chain.run(landing, moment, moment, CHECKED_AT)
     return chain
 

@@ -53,6 +53,23 @@ def fold_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cells.columns if c not in keys])
 
 
+def fold_folded(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`fold_cells` of one cell per column (``ignore_nulls``) that come from a few folds, so that a key has a row per fold at most.
+
+    Nothing is gained by folding such rows before the shuffle, and their cells are wide: they are dealt by key as plain values,
+    with one sequence value where all cells of the row have the same, and are made cells again behind the shuffle.
+    """
+    values = [c for c in cells.columns if c not in keys]
+    names = {c: f"_value_{i}" for i, c in enumerate(values)}
+    newest = F.greatest(*[F.col(f"{c}.{SEQ}") for c in values]) if len(values) > 1 else F.col(f"{values[0]}.{SEQ}")
+    unequal = reduce(or_, [F.coalesce(F.col(f"{c}.{SEQ}") != newest, F.lit(False)) for c in values])
+    own = F.when(unequal, F.struct(*[F.col(f"{c}.{SEQ}").alias(n) for c, n in names.items()]))
+    plain = cells.select(*keys, *[F.col(f"{c}.value").alias(n) for c, n in names.items()], newest.alias("_newest"), own.alias("_own"))
+    dealt = plain.repartition(*keys)
+    wide = [F.when(F.col(n).isNotNull(), F.struct(F.coalesce(F.col(f"_own.{n}"), F.col("_newest")).alias(SEQ), F.col(n).alias("value"))).alias(c) for c, n in names.items()]
+    return fold_cells(dealt.select(*keys, *wide), keys)
+
+
 def merge_cells(state: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fold new cells into stored ones; columns new to the table start empty for older keys."""
     return fold_cells(state.unionByName(incoming, allowMissingColumns=True), keys)

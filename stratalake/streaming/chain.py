@@ -24,12 +24,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from stratalake.operators.cdc import fold_cells, from_cells, to_cells
+from stratalake.operators.cdc import fold_cells, fold_folded, from_cells, to_cells
 from stratalake.operators.quality import QUARANTINED, clean, quarantined
 from stratalake.sources.evolving import SchemaStore, evolving_stream
 from stratalake.sources.writers import append_stream
 from stratalake.streaming.flows import TRIP_KEYS, bronze, run_name, staging
-from stratalake.tuning import adaptive, fold_splits
+from stratalake.tuning import adaptive, fold_splits, shuffles_removed
 
 #: Every row is stored once per hop, so the hops are written denser than by default.
 COMPRESSION = "zstd"
@@ -103,7 +103,7 @@ class TripChain:
         run = run_name(self.spark, self._progress("fold"))
 
         def store(batch: DataFrame, number: int) -> None:
-            with adaptive(batch.sparkSession):
+            with adaptive(batch.sparkSession), shuffles_removed(batch.sparkSession):
                 folded = fold_cells(self._cells(batch), self.keys)
                 folded.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{self.base}/cells/run={run}/batch={number}")
 
@@ -123,4 +123,4 @@ class TripChain:
         """Clean trips, one row per key, each column with its newest value that is known."""
         shape = self._cells(clean(self.spark.createDataFrame([], self.staging_schema()))).schema
         cells = self.spark.read.schema(shape).parquet(f"{self.base}/cells/*/*")
-        return from_cells(fold_cells(cells, self.keys), self.keys, ignore_nulls=True)
+        return from_cells(fold_folded(cells, self.keys), self.keys, ignore_nulls=True)
